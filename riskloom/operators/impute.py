@@ -193,8 +193,9 @@ def impute_knn(df: DataFrame, donors: DataFrame, means: dict[str, float | None],
     key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("double").cast("string"), F.lit("~")) for c in cols])
     fill = (
         knn_fill_table(receivers, donors, cols, k)
-        .groupBy(*cols).pivot("column", cols).agg(F.first("estimate"))
-        .select(key.alias("_key"), *[F.col(c).alias(f"_e_{c}") for c in cols])
+        .withColumn("column", F.concat(F.lit("_e_"), "column"))
+        .groupBy(*cols).pivot("column", [f"_e_{c}" for c in cols]).agg(F.first("estimate"))
+        .select(key.alias("_key"), *[f"_e_{c}" for c in cols])
     ) if len(cols) > 1 else None
     mean = {c: F.lit(means.get(c) if means.get(c) is not None else 0.0) for c in cols}
     if fill is None:

@@ -155,7 +155,7 @@ def fit_row_embedding(df: DataFrame, cols: Sequence[str], kind: str, dim: int) -
     sentences = df.select(row_tokens(rows_to_text(cols), kind).alias("words"))
     model = Word2Vec(
         vectorSize=dim, windowSize=5, minCount=1, maxIter=5, seed=42, inputCol="words", outputCol="v",
-        numPartitions=max(1, min(256, df.rdd.getNumPartitions() // 4)),
+        numPartitions=max(1, min(256, df.sparkSession.sparkContext.defaultParallelism)),
     ).fit(sentences)
     return settle(word_vectors(model)), [f"{kind}_{i + 1}" for i in range(dim)]
 
