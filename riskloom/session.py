@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, app: str = "riskloom") -> SparkSession:
         .appName(app)
         .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
