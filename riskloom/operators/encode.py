@@ -14,7 +14,7 @@ from riskloom.functions.hashing import normal, order_hash
 from riskloom.functions.lookup import fits_broadcast, lookup
 from riskloom.operators import text
 from riskloom.operators.schema import fit_labels, label_encoded
-from riskloom.session import settle
+from riskloom.session import keep_small, settle
 from riskloom.sources.tables import safe_names
 
 METHODS = ("onehot", "label", "ordinal", "lsa", "word2vec", "embedding", "row_word2vec", "row_fasttext", "leaveoneout")
@@ -30,6 +30,7 @@ class EncodeState:
     table: DataFrame | None = None
     prior: float | None = None
     output: list[str] = field(default_factory=list)
+    small: bool | None = None
 
 
 def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -44,29 +45,33 @@ def sorted_codes(counts: DataFrame) -> DataFrame:
     Small value tables are ranked by one window per column. A larger one is
     range-sorted across tasks and stored, and codes are partition offset plus position.
     """
-    counts = settle(counts)
+    counts = keep_small(counts)
     if counts.count() <= limits.ONE_TASK_ROWS:
         order = Window.partitionBy("column").orderBy("value")
-        return counts.withColumn("code", (F.row_number().over(order) - 1).cast("int"))
+        return keep_small(counts.withColumn("code", (F.row_number().over(order) - 1).cast("int")))
     placed = settle(
         counts.orderBy("column", "value").withColumn("_at", F.monotonically_increasing_id())
     ).withColumn("_part", F.shiftrightunsigned("_at", 33))
     firsts = placed.groupBy("_part", "column").agg(F.count("*").alias("c"), F.min("_at").alias("_first"))
     ahead = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = firsts.select("_part", "column", "_first", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("_off"))
-    return placed.join(F.broadcast(offsets), ["_part", "column"]).select(
-        "column", "value", "n", (F.col("_off") + F.col("_at") - F.col("_first")).cast("int").alias("code")
+    return settle(
+        placed.join(F.broadcast(offsets), ["_part", "column"]).select(
+            "column", "value", "n", (F.col("_off") + F.col("_at") - F.col("_first")).cast("int").alias("code")
+        )
     )
 
 
-def per_column_lookup(df: DataFrame, cols: Sequence[str], table: DataFrame, payload: Sequence[str], make) -> DataFrame:
+def per_column_lookup(
+    df: DataFrame, cols: Sequence[str], table: DataFrame, payload: Sequence[str], make, small: bool | None = None
+) -> DataFrame:
     """For each column, join its slice of a (column, value, ...) table and replace it by make(c).
 
     ``make`` maps a column name to {output name: expression over the payload}.
     """
     order = df.columns
     extra: list[str] = []
-    small = fits_broadcast(table)
+    small = fits_broadcast(table) if small is None else small
     for c in cols:
         part = table.filter(F.col("column") == c)
         keyed = df.withColumn("_value", as_category(c))
@@ -94,7 +99,7 @@ def fit_encode(df: DataFrame, method: str, target: str | None = None, exclude: S
     if method == "onehot":
         return _fit_onehot(df, state)
     if method in ("label", "ordinal"):
-        state.table = settle(sorted_codes(category_counts(df, cols)))
+        state.table = sorted_codes(category_counts(df, cols))
     elif method == "leaveoneout":
         _fit_leave_one_out(df, state, target)
     elif method == "lsa":
@@ -106,6 +111,8 @@ def fit_encode(df: DataFrame, method: str, target: str | None = None, exclude: S
     else:
         kind = "word2vec" if method == "row_word2vec" else "fasttext"
         state.table, state.output = text.fit_row_embedding(df, cols, kind, int(params.get("n_components", 100)))
+    if state.table is not None and method not in ("lsa", "row_word2vec", "row_fasttext"):
+        state.small = fits_broadcast(state.table)
     return state
 
 
@@ -117,12 +124,13 @@ def apply_encode(df: DataFrame, state: EncodeState) -> DataFrame:
         return _apply_onehot(df, state)
     if state.method in ("label", "ordinal"):
         return per_column_lookup(
-            df, cols, state.table, ["code"], lambda c: {c: F.coalesce(F.col("code"), F.lit(-1)).cast("int")}
+            df, cols, state.table, ["code"], lambda c: {c: F.coalesce(F.col("code"), F.lit(-1)).cast("int")},
+            state.small,
         )
     if state.method == "leaveoneout":
         return per_column_lookup(
             df, cols, state.table, ["total"],
-            lambda c: {c: F.coalesce(F.col("total.s") / F.col("total.n"), F.lit(state.prior))},
+            lambda c: {c: F.coalesce(F.col("total.s") / F.col("total.n"), F.lit(state.prior))}, state.small,
         )
     if state.method == "lsa":
         return text.apply_lsa(df, cols, state.table, state.output, int(tuple(state.params.get("ngram_range", (1, 1)))[1]))
@@ -132,7 +140,7 @@ def apply_encode(df: DataFrame, state: EncodeState) -> DataFrame:
         dim = int(state.params.get("embedding_dim", 50))
         out = per_column_lookup(
             df, cols, state.table, ["vector"],
-            lambda c: {f"{c}_w2v_{i}": F.coalesce(F.col("vector")[i], F.lit(0.0)) for i in range(dim)},
+            lambda c: {f"{c}_w2v_{i}": F.coalesce(F.col("vector")[i], F.lit(0.0)) for i in range(dim)}, state.small,
         )
         return out.select(*[c for c in out.columns if c not in cols])
     kind = "word2vec" if state.method == "row_word2vec" else "fasttext"
@@ -141,7 +149,7 @@ def apply_encode(df: DataFrame, state: EncodeState) -> DataFrame:
 
 def _fit_onehot(df: DataFrame, state: EncodeState) -> EncodeState:
     limit = int(state.params.get("max_cardinality_threshold", 50))
-    counts = settle(category_counts(df, state.columns))
+    counts = keep_small(category_counts(df, state.columns))
     widths = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
     narrow = [c for c in state.columns if widths.get(c, 0) <= limit]
     state.unencoded = [c for c in state.columns if c not in narrow]
@@ -176,7 +184,7 @@ def _fit_leave_one_out(df: DataFrame, state: EncodeState, target: str) -> None:
         df.select(cells.alias("r")).select("r.*").groupBy("column", "value")
         .agg(F.count("*").alias("n"), F.sum("y").alias("s"))
     )
-    state.table = settle(sums.select("column", "value", "n", F.struct("s", "n").alias("total")))
+    state.table = keep_small(sums.select("column", "value", "n", F.struct("s", "n").alias("total")))
     state.prior = df.agg(F.avg(y).alias("m")).first()["m"]
 
 
@@ -194,18 +202,18 @@ def leave_one_out_train(
             value = value * (1.0 + sigma * normal(order_hash(seed, F.lit(c), *[F.col(k) for k in keys])))
         return {c: value}
 
-    return per_column_lookup(work, state.columns, state.table, ["total"], make).drop("_y")
+    return per_column_lookup(work, state.columns, state.table, ["total"], make, state.small).drop("_y")
 
 
 def _fit_word2vec(df: DataFrame, cols: Sequence[str], dim: int, window: int) -> DataFrame | None:
     """(column, value, vector, n): one-word sentences, so the distinct values suffice."""
     if dim <= 0:
         return None
-    counts = settle(category_counts(df, cols))
+    counts = keep_small(category_counts(df, cols))
     out = None
     for c in cols:
         words = counts.filter(F.col("column") == c).orderBy("value").select(F.array("value").alias("words"), "value", "n")
         model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=42, inputCol="words", outputCol="v").fit(words)
         vectors = text.word_vectors(model).join(words.select("value", "n"), "value").select(F.lit(c).alias("column"), "value", "vector", "n")
         out = vectors if out is None else out.unionByName(vectors)
-    return settle(out)
+    return keep_small(out)

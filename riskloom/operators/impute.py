@@ -15,7 +15,7 @@ from riskloom.functions.lookup import lookup
 from riskloom.functions.quantiles import medians
 from riskloom.operators import iterative
 from riskloom.operators.neighbors import knn_join
-from riskloom.session import settle
+from riskloom.session import keep_small
 
 METHODS = ("knn", "median", "missforest")
 # Fill texts.
@@ -88,12 +88,15 @@ def impute_median(df: DataFrame, fitted: dict[str, float | None]) -> DataFrame:
     A numeric column that was not fitted uses its own median.
     """
     unseen = [c for c in numeric_columns(df) if c not in fitted]
-    known = {**fitted, **(medians(df, unseen) if unseen else {})}
+    return _filled(df, {**fitted, **(medians(df, unseen) if unseen else {})})
+
+
+def _filled(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
     return replace_columns(
         df,
         {
             c: F.coalesce(F.col(c).cast("double"), F.lit(0.0 if m is None else m))
-            for c, m in known.items() if c in df.columns
+            for c, m in values.items() if c in df.columns
         },
     )
 
@@ -139,8 +142,8 @@ def knn_fill_table(receivers: DataFrame, donors: DataFrame, cols: Sequence[str],
     cols = list(cols)
     pattern = F.array(*[F.col(c).isNotNull() for c in cols])
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    recv = settle(receivers.select(*cols).distinct().filter(any_null).withColumn("_p", pattern))
-    give = settle(donors.withColumn("_p", pattern))
+    recv = keep_small(receivers.select(*cols).distinct().filter(any_null).withColumn("_p", pattern))
+    give = keep_small(donors.withColumn("_p", pattern))
     r_patterns = [tuple(r["_p"]) for r in recv.select("_p").distinct().collect()]
     d_patterns = [tuple(r["_p"]) for r in give.select("_p").distinct().collect()]
     width = len(cols)
@@ -201,7 +204,7 @@ def impute_knn(df: DataFrame, donors: DataFrame, means: dict[str, float | None],
     if fill is None:
         return replace_columns(df, {c: F.coalesce(F.col(c).cast("double"), mean[c]) for c in cols})
     weights = receivers.select(key.alias("_key"), F.col("n").alias("_n"))
-    table = settle(weights.join(fill, "_key", "left"))
+    table = keep_small(weights.join(fill, "_key", "left"))
     joined = lookup(df.withColumn("_key", key), table, "_key", [f"_e_{c}" for c in cols], "_n")
     return joined.select(
         *[
@@ -217,13 +220,13 @@ def fit_impute(df: DataFrame, method: str = "knn", exclude: Sequence[str] = (),
         raise ValueError(f"unknown imputation method: {method}")
     numeric = numeric_columns(df, exclude)
     state = ImputeState(method, column_modes(df, non_numeric_columns(df, exclude)), medians(df, numeric))
-    holes = null_bearing(df, numeric)
+    holes = null_bearing(df, numeric) if method != "median" else []
     if method == "knn" and holes:
         state.knn_columns = holes
         state.k = int(params.get("n_neighbors", 5))
         row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(holes)]).first()
         state.means = {c: row[f"_{i}"] for i, c in enumerate(holes)}
-        state.donors = settle(profiles(df, holes))
+        state.donors = keep_small(profiles(df, holes))
     elif method == "missforest" and holes:
         state.forests = iterative.fit_forests(df, holes, **params)
     return state
@@ -236,5 +239,5 @@ def apply_impute(df: DataFrame, state: ImputeState, exclude: Sequence[str] = ())
         out = impute_knn(out, state.donors, state.means, state.knn_columns, state.k)
     if state.forests is not None:
         out = iterative.apply_forests(out, state.forests)
-    out = impute_median(out, {c: m for c, m in state.medians.items() if c not in exclude and c in out.columns}) if state.medians else out
-    return final_sweep(out, exclude)
+    known = {c: m for c, m in state.medians.items() if c not in exclude}
+    return final_sweep(_filled(out, known), exclude)

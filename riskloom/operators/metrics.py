@@ -79,13 +79,18 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     return df.sparkSession.createDataFrame(report, REPORT_SCHEMA)
 
 
-def ranked_scores(cells: DataFrame, bucket_rows: int = limits.ONE_TASK_ROWS) -> DataFrame:
+def ranked_scores(cells: DataFrame, bucket_rows: int = limits.ONE_TASK_ROWS, at_most: int | None = None) -> DataFrame:
     """cells(cls, score, hit 0/1) -> per class and distinct score: pos, neg and the
-    running totals tp, fp from the highest score down."""
-    groups = hold(
-        cells.groupBy("cls", "score").agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg"))
-    )
-    m = groups.count()
+    running totals tp, fp from the highest score down.
+
+    ``at_most`` is a known bound on the number of cells; within one bucket's size no
+    count is needed.
+    """
+    groups = cells.groupBy("cls", "score").agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg"))
+    m = at_most
+    if m is None or m > bucket_rows:
+        groups = hold(groups)
+        m = groups.count()
     parts = min(10_000, max(1, math.ceil(m / bucket_rows)))
     work = value_buckets(groups, "score", parts=parts) if parts > 1 else groups.withColumn("_bucket", F.lit(0.0))
     inside = Window.partitionBy("cls", "_bucket").orderBy(F.desc("score"))
@@ -102,13 +107,13 @@ def ranked_scores(cells: DataFrame, bucket_rows: int = limits.ONE_TASK_ROWS) ->
     )
 
 
-def rank_metrics(cells: DataFrame, bucket_rows: int = limits.ONE_TASK_ROWS) -> DataFrame:
+def rank_metrics(cells: DataFrame, bucket_rows: int = limits.ONE_TASK_ROWS, at_most: int | None = None) -> DataFrame:
     """(cls, roc_auc, auprc) per class; NULL where a class has one side only.
 
     auprc is average precision: the sum over distinct scores of recall gained times
     precision. roc_auc counts ties as one half.
     """
-    run = ranked_scores(cells, bucket_rows)
+    run = ranked_scores(cells, bucket_rows, at_most)
     pos, neg = F.col("pos"), F.col("neg")
     total = run.groupBy("cls").agg(
         F.sum("pos").alias("P"), F.sum("neg").alias("N"),
@@ -138,10 +143,12 @@ def evaluate(scored: DataFrame, label: str, prediction: str, probabilities: str,
     """All metrics of one scored table: two jobs whatever its size."""
     base = hold(scored.select(label, prediction, probabilities))
     metrics, report = label_metrics(base, label, prediction, classes)
+    support = int(report[-1][2])
     if classes == 2:
-        rows = rank_metrics(binary_cells(base, label, F.element_at(probabilities, 2))).collect()
+        cells, n = binary_cells(base, label, F.element_at(probabilities, 2)), support
     else:
-        rows = rank_metrics(class_cells(base, label, probabilities)).collect()
+        cells, n = class_cells(base, label, probabilities), support * classes
+    rows = rank_metrics(cells, at_most=n).collect()
     for name in ("roc_auc", "auprc"):
         values = [r[name] for r in rows]
         metrics[name] = sum(values) / len(values) if values and None not in values else None

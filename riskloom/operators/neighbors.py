@@ -40,13 +40,21 @@ def knn_join(
     )
     q = settle(queries.select("vec").distinct())
     n = s.count()
+    schema = T.StructType(
+        [T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("dist", T.DoubleType())]
+        + [s.schema["tie"]] + [s.schema[c] for c in extra]
+    )
     if n == 0:
         empty = s.limit(0)
         return empty.select(
             "vec", F.lit(1).alias("rank"), F.lit(0.0).alias("dist"), "tie", *extra
         )
     p = max(1, min(_MAX_PIVOTS, math.ceil(n / _POINTS_PER_PIVOT)))
-    sample = smallest_by_hash(s.select("vec", F.to_json(F.struct("vec", "tie")).alias("key")), ["key"], p, n, "pivot")
+    sample = None if p == 1 else smallest_by_hash(s.select("vec", F.to_json(F.struct("vec", "tie")).alias("key")), ["key"], p, n, "pivot")
+    if p == 1:
+        blocks = np.array([math.ceil(n / block_rows)])
+        cells = _with_blocks(s.withColumn("cell", F.lit(0)), blocks)
+        return _ranked(_search(q.withColumn("cell", F.lit(0)), cells, blocks, k, schema, block_rows), k, extra)
     pivots = np.unique(np.array([r["vec"] for r in sample.select("vec").collect()], dtype=float), axis=0)
 
     s_cells = settle(_nearest_cell(s, pivots))
@@ -56,18 +64,10 @@ def knn_join(
     for r in stat:
         count[r["cell"]], radius[r["cell"]] = r["n"], r["radius"]
     blocks = np.maximum(1, np.ceil(count / block_rows)).astype(int)
-    s_cells = s_cells.withColumn(
-        "block", F.pmod(F.xxhash64("vec", "tie"), _by_cell(blocks)).cast("int")
-    )
-    schema = T.StructType(
-        [T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("dist", T.DoubleType())]
-        + [s.schema["tie"]] + [s.schema[c] for c in extra]
-    )
+    s_cells = _with_blocks(s_cells, blocks)
 
     own = _visits(q, pivots, radius, count, k, own=True)
     first = _search(own, s_cells, blocks, k, schema, block_rows)
-    if len(pivots) == 1:
-        return _ranked(first, k, extra)
     first = settle(_ranked(first, k, extra))
     reach = first.filter(F.col("rank") == k).select("vec", F.col("dist").alias("reach"))
     rest = _visits(q.join(reach, "vec", "left"), pivots, radius, count, k, own=False)
@@ -84,6 +84,10 @@ def _ranked(hits: DataFrame, k: int, extra: list[str]) -> DataFrame:
     )
 
 
+def _with_blocks(s: DataFrame, blocks: np.ndarray) -> DataFrame:
+    return s.withColumn("block", F.pmod(F.xxhash64("vec", "tie"), _by_cell(blocks)).cast("int"))
+
+
 def _by_cell(values: np.ndarray):
     return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("cell") + 1)
 
@@ -157,8 +161,11 @@ def _visits(q: DataFrame, pivots, radius, count, k: int, own: bool) -> DataFrame
 
 def _search(visits: DataFrame, s_cells: DataFrame, blocks, k: int, schema, block_rows: int) -> DataFrame:
     """Top k of each query within each visited block, as bounded block-by-block tasks."""
-    visits = hold(visits)
-    load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
+    if len(blocks) == 1:
+        load = {0: visits.count()}
+    else:
+        visits = hold(visits)
+        load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
     lanes = np.array([max(1, math.ceil(load.get(i, 0) / block_rows)) for i in range(len(blocks))])
     left = visits.withColumn("lane", F.pmod(F.xxhash64("vec"), _by_cell(lanes)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), _by_cell(blocks) - 1))

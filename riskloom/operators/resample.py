@@ -18,7 +18,7 @@ from riskloom.functions.hashing import order_hash, pick, unit
 from riskloom.functions.lookup import lookup
 from riskloom.functions.ranking import at_or_below, dense_index, hash_cutoffs
 from riskloom.operators.neighbors import knn_join
-from riskloom.session import settle
+from riskloom.session import keep_small, settle
 
 METHODS = ("none", "oversample", "undersample", "smote", "adasyn")
 log = logging.getLogger(__name__)
@@ -165,7 +165,7 @@ def near_lists(rows: DataFrame, donors: DataFrame, k: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rank", "dist", "tie", *payload))).alias("nb")
     )
     weights = rows.groupBy("vec").agg(F.count("*").alias("_n"))
-    table = settle(weights.join(lists, "vec"))
+    table = keep_small(weights.join(lists, "vec"), 2_000)
     joined = lookup(rows, table, "vec", ["nb"], "_n")
     others = F.filter("nb", lambda x: x["tie"] != F.col("_key"))
     return joined.withColumn("nb", F.slice(others, 1, k))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.columns import as_category
 from riskloom.functions.lookup import lookup
-from riskloom.session import settle
+from riskloom.session import keep_small
 
 MAX_TERMS = 1_000_000
 
@@ -86,15 +86,15 @@ def fit_lsa(df: DataFrame, cols: Sequence[str], k: int, ngram_max: int) -> tuple
     """
     spark = df.sparkSession
     names = [f"LSA_{i + 1}" for i in range(k)]
-    texts = settle(distinct_texts(df, cols))
-    weights = settle(term_weights(texts, ngram_max))
+    texts = keep_small(distinct_texts(df, cols))
+    weights = keep_small(term_weights(texts, ngram_max))
     d = weights.count()
     if d == 0:
         return weights.select("term", "idf", F.array().cast("array<double>").alias("v")), names
     if d > MAX_TERMS:
         raise ValueError(f"{d} terms are too many for a singular value decomposition; raise min_df")
     place = Window.orderBy("term")
-    index = settle(weights.select("term", "idf", (F.row_number().over(place) - 1).alias("pos")))
+    index = keep_small(weights.select("term", "idf", (F.row_number().over(place) - 1).alias("pos")))
     cells = tfidf_rows(texts, weights, ngram_max).join(index.select("term", "pos"), "term")
     vectors = cells.groupBy("text", "n").agg(
         F.sort_array(F.collect_list(F.struct("pos", (F.col("tfidf") * F.sqrt("n")).alias("x")))).alias("cells")
@@ -107,7 +107,7 @@ def fit_lsa(df: DataFrame, cols: Sequence[str], k: int, ngram_max: int) -> tuple
     lead = np.abs(v).argmax(axis=0)
     v = v * np.sign(v[lead, np.arange(v.shape[1])])
     loaded = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(d)], "pos int, v array<double>")
-    return settle(index.join(loaded, "pos").select("term", "idf", "v")), names
+    return keep_small(index.join(loaded, "pos").select("term", "idf", "v")), names
 
 
 def apply_lsa(df: DataFrame, cols: Sequence[str], table: DataFrame, names: Sequence[str], ngram_max: int) -> DataFrame:
@@ -118,7 +118,7 @@ def apply_lsa(df: DataFrame, cols: Sequence[str], table: DataFrame, names: Seque
     parts = cells.groupBy("text", "n").agg(
         *[F.sum(F.col("tfidf") * F.coalesce(F.get(F.col("v"), F.lit(i)), F.lit(0.0))).alias(n) for i, n in enumerate(names)]
     )
-    joined = lookup(keyed, settle(parts), "text", list(names), "n")
+    joined = lookup(keyed, keep_small(parts), "text", list(names), "n")
     return joined.select(
         *[c for c in df.columns if c not in cols], *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names]
     )
@@ -149,15 +149,23 @@ def _with_pieces(word: Column) -> Column:
 
 
 def fit_row_embedding(df: DataFrame, cols: Sequence[str], kind: str, dim: int) -> tuple[DataFrame, list[str]]:
-    """Word vectors trained on all row texts, window 5, every word kept."""
+    """Word vectors trained on all row texts, window 5, every word kept.
+
+    For fasttext the table holds a vector per letter piece, the mean over the words
+    that contain it, so a word not seen in training still gets a vector.
+    """
     if kind not in ("word2vec", "fasttext"):
         raise ValueError(f"unknown embedding method: {kind}")
-    sentences = df.select(row_tokens(rows_to_text(cols), kind).alias("words"))
+    sentences = df.select(row_tokens(rows_to_text(cols), "word2vec").alias("words"))
     model = Word2Vec(
         vectorSize=dim, windowSize=5, minCount=1, maxIter=5, seed=42, inputCol="words", outputCol="v",
         numPartitions=max(1, min(256, df.sparkSession.sparkContext.defaultParallelism)),
     ).fit(sentences)
-    return settle(word_vectors(model)), [f"{kind}_{i + 1}" for i in range(dim)]
+    vectors = word_vectors(model)
+    if kind == "fasttext":
+        pieces = vectors.select(F.explode(F.array_distinct(_with_pieces(F.col("value")))).alias("value"), "vector")
+        vectors = pieces.groupBy("value").agg(F.array(*[F.avg(F.col("vector")[i]) for i in range(dim)]).alias("vector"))
+    return keep_small(vectors), [f"{kind}_{i + 1}" for i in range(dim)]
 
 
 def apply_row_embedding(df: DataFrame, cols: Sequence[str], kind: str, table: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -168,7 +176,7 @@ def apply_row_embedding(df: DataFrame, cols: Sequence[str], kind: str, table: Da
     means = tokens.join(table, "value").groupBy("text", "n").agg(
         *[F.avg(F.col("vector")[i]).alias(n) for i, n in enumerate(names)]
     )
-    joined = lookup(keyed, settle(means), "text", list(names), "n")
+    joined = lookup(keyed, keep_small(means), "text", list(names), "n")
     return joined.select(
         *[c for c in df.columns if c not in cols], *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names]
     )

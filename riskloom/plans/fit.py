@@ -127,8 +127,11 @@ def shape(
 def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepared:
     """Impute, filter, encode, rebalance and scale.
 
-    ``reuse(key, make)`` may return an earlier result for the same stage prefix.
+    ``reuse(key, make)`` may return an earlier result for the same stage prefix; only
+    then is every stage kept. A single run keeps the resampled and the final rows and
+    recomputes the projections between.
     """
+    keep = hold if reuse else (lambda df: df)
     reuse = reuse or (lambda key, make: make())
     skip = [ROW, LABEL]
     key: list = []
@@ -139,12 +142,12 @@ def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepar
 
     def do_impute():
         state = impute.fit_impute(data.train, config["imputation"]["method"], skip, **config["imputation"]["params"])
-        return hold(impute.apply_impute(data.train, state, skip)), hold(impute.apply_impute(data.test, state, skip)), state
+        return keep(impute.apply_impute(data.train, state, skip)), keep(impute.apply_impute(data.test, state, skip)), state
 
     train, test, imputed = step("imputation", do_impute)
 
     def do_outliers():
-        return hold(outliers.remove_outliers(train, config["outlier"]["method"], [LABEL], [ROW], **config["outlier"]["params"]))
+        return keep(outliers.remove_outliers(train, config["outlier"]["method"], [LABEL], [ROW], **config["outlier"]["params"]))
 
     kept = step("outlier", do_outliers)
 
@@ -152,7 +155,7 @@ def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepar
         state = encode.fit_encode(kept, config["encoding"]["method"], None, skip, **config["encoding"]["params"])
         if state.unencoded:
             raise Unencoded(f"too many categories for one-hot: {state.unencoded}")
-        return hold(encode.apply_encode(kept, state)), hold(encode.apply_encode(test, state)), state
+        return keep(encode.apply_encode(kept, state)), keep(encode.apply_encode(test, state)), state
 
     coded, coded_test, encoded = step("encoding", do_encode)
     features = [c for c in coded.columns if c not in skip]
@@ -162,7 +165,8 @@ def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepar
         done = resample.resample(
             coded, LABEL, ROW, config["resampling"]["method"], features, **config["resampling"]["params"]
         )
-        return hold(done.select(ROW, LABEL, *features))
+        done = done.select(ROW, LABEL, *features)
+        return done if config["resampling"]["method"] == "none" else hold(done)
 
     balanced = step("resampling", do_resample)
 

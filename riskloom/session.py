@@ -9,6 +9,8 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom import limits
+
 
 def local_session(cores: int | str = 8, app: str = "riskloom") -> SparkSession:
     spark = (
@@ -59,6 +61,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keep_small(df: DataFrame, rows: int = limits.LOCAL_ROWS) -> DataFrame:
+    """A fitted table: local rows if there are few (checked), else reliable storage.
+
+    Local rows join without a job of their own.
+    """
+    head = df.limit(rows + 1).toArrow()
+    if head.num_rows <= rows:
+        return df.sparkSession.createDataFrame(head, df.schema)
+    return settle(df)
+
+
 def hold(df: DataFrame) -> DataFrame:
     """Keep for reuse within one job chain; recomputed from lineage after executor loss."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
