@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.quantiles import exact_quantiles
 from riskloom.functions.ranking import smallest_by_hash
+from riskloom.session import hold
 
 SAMPLE = 256
 EULER = 0.5772156649015329
@@ -111,35 +112,45 @@ def fit_isolation(
     shared.unpersist()
     state = IsolationState(cols, psi, trees, 0.5)
     if contamination != "auto":
-        scores = anomaly_score(clean.select(*cols), state)
+        scores = hold(anomaly_score(clean.select(*cols), state).select("_score"))
         state.threshold = exact_quantiles(scores, ["_score"], [1.0 - float(contamination)])["_score"][0]
+        scores.unpersist()
     return state
 
 
+def _walkable(tree: tuple) -> tuple:
+    """Arrays for a walk of fixed length: a leaf leads to itself; ends holds its path length."""
+    feature, cut, left, right, size = (np.asarray(a) for a in tree)
+    depth = np.zeros(len(feature))
+    for i in range(len(feature)):
+        if feature[i] >= 0:
+            depth[left[i]] = depth[right[i]] = depth[i] + 1
+    me = np.arange(len(feature), dtype=np.int32)
+    leaf = feature < 0
+    return (
+        np.where(leaf, 0, feature).astype(np.int32), cut, np.where(leaf, me, left).astype(np.int32),
+        np.where(leaf, me, right).astype(np.int32), depth + mean_path(size), int(depth.max()),
+    )
+
+
 def anomaly_score(df: DataFrame, state: IsolationState) -> DataFrame:
     """Adds _score = 2^(-mean path length / c(psi)); rows must be finite.
 
     Only the scored columns leave the JVM.
     """
-    shared = df.sparkSession.sparkContext.broadcast(state.trees)
+    shared = df.sparkSession.sparkContext.broadcast([_walkable(t) for t in state.trees])
     scale = max(float(mean_path(state.psi)), 1e-12)
 
     @F.pandas_udf("double")
     def score(parts: pd.DataFrame) -> pd.Series:
-        x = parts.to_numpy(dtype=float)
-        depth = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for feature, cut, left, right, size in shared.value:
-            at = np.zeros(len(x), dtype=int)
-            steps = np.zeros(len(x))
-            live = rows[feature[at] >= 0]
-            while len(live):
-                f = feature[at[live]]
-                goes = x[live, f] <= cut[at[live]]
-                at[live] = np.where(goes, left[at[live]], right[at[live]])
-                steps[live] += 1
-                live = live[feature[at[live]] >= 0]
-            depth += steps + mean_path(size[at])
+        flat = np.ascontiguousarray(parts.to_numpy(dtype=float)).ravel()
+        start = np.arange(len(parts)) * len(state.columns)
+        depth = np.zeros(len(parts))
+        for feature, cut, left, right, ends, levels in shared.value:
+            at = np.zeros(len(parts), dtype=np.int32)
+            for _ in range(levels):
+                at = np.where(flat[start + feature[at]] <= cut[at], left[at], right[at])
+            depth += ends[at]
         return pd.Series(2.0 ** (-(depth / len(shared.value)) / scale))
 
     return df.withColumn("_score", score(F.struct(*[F.col(c).cast("double").alias(c) for c in state.columns])))

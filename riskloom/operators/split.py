@@ -11,14 +11,17 @@ from riskloom.functions.hashing import order_hash
 from riskloom.functions.ranking import at_or_below, hash_cutoffs
 
 
-def holdout_split(df: DataFrame, keys: Sequence[str], fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds _split: the ceil(fraction * n) rows of smallest seeded key hash are test.
-
-    ``keys`` must identify a row.
-    """
+def holdout_test(df: DataFrame, keys: Sequence[str], fraction: float = 0.2, seed: int = 42) -> tuple[Column, int]:
+    """(test for the ceil(fraction * n) rows of smallest seeded key hash, n)."""
     h = order_hash(seed, *keys)
-    cuts, _ = hash_cutoffs(df, h, lambda n: {g: math.ceil(fraction * c) for g, c in n.items()})
-    return df.withColumn("_split", F.when(at_or_below(h, cuts), "test").otherwise("train"))
+    cuts, sizes = hash_cutoffs(df, h, lambda n: {g: math.ceil(fraction * c) for g, c in n.items()})
+    return at_or_below(h, cuts) if cuts else F.lit(False), sum(sizes.values())
+
+
+def holdout_split(df: DataFrame, keys: Sequence[str], fraction: float = 0.2, seed: int = 42) -> DataFrame:
+    """Adds _split with train and test. ``keys`` must identify a row."""
+    test, _ = holdout_test(df, keys, fraction, seed)
+    return df.withColumn("_split", F.when(test, "test").otherwise("train"))
 
 
 def stratified_takes(sizes: dict, fraction: float) -> dict:

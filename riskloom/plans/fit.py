@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import logging
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -17,10 +18,11 @@ from riskloom.functions.columns import nan_to_null, reject_nested
 from riskloom.functions.rowid import with_row_id
 from riskloom.operators import encode, impute, models, outliers, resample, scale, schema, scoring
 from riskloom.operators.metrics import evaluate
-from riskloom.operators.split import holdout_split
+from riskloom.operators.split import holdout_test
 from riskloom.session import hold
 
 LABEL, ROW = "_y", "_rid"
+SMALL_TABLE = 5_000_000
 log = logging.getLogger(__name__)
 
 
@@ -98,7 +100,11 @@ class Shaped:
 def shape(
     df: DataFrame, target: str, keys: Sequence[str] = (), test: DataFrame | None = None, fraction: float = 0.2, seed: int = 42
 ) -> Shaped:
-    """Rows with a known target, keyed and split; identifier columns leave the features."""
+    """Rows with a known target, keyed and split; identifier columns leave the features.
+
+    A table of few rows often comes in fewer partitions than there are cores and is
+    spread; a large one keeps the layout of its scan.
+    """
     reject_nested(df)
     if target not in df.columns:
         raise ValueError(f"target column {target!r} is not in the data")
@@ -106,18 +112,20 @@ def shape(
     keys = list(keys) or ids[:1]
     keyed = with_row_id(nan_to_null(df), keys)
     if test is None:
-        keyed = holdout_split(keyed, [ROW], fraction, seed)
-        train, rest = keyed.filter("_split = 'train'").drop("_split"), keyed.filter("_split = 'test'").drop("_split")
+        is_test, n = holdout_test(keyed, [ROW], fraction, seed)
+        train, rest = keyed.filter(~is_test), keyed.filter(is_test)
     else:
-        train, rest = keyed, with_row_id(nan_to_null(test), keys)
+        train, rest, n = keyed, with_row_id(nan_to_null(test), keys), df.count()
     train = train.filter(F.col(target).isNotNull())
     state = schema.fit_target(train, target)
     dropped = list(dict.fromkeys([*ids, *[k for k in keys if k != target]]))
     keep = [c for c in df.columns if c not in dropped and c != target]
+    tasks = max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / 5_000)))
 
     def shaped(t: DataFrame) -> DataFrame:
         present = [F.col(c) if c in t.columns else F.lit(None).alias(c) for c in keep]
-        return t.select(ROW, schema.class_index(state).alias(LABEL), *present).filter(F.col(LABEL).isNotNull())
+        out = t.select(ROW, schema.class_index(state).alias(LABEL), *present).filter(F.col(LABEL).isNotNull())
+        return out.repartition(tasks, ROW) if n <= SMALL_TABLE else out
 
     train, rest = hold(shaped(train)), hold(shaped(rest))
     raw = T.StructType([df.schema[c] for c in keep])
