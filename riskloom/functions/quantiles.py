@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom import limits
 
+_DRIVER_VALUES = 10_000
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -21,64 +24,104 @@ def exact_quantiles(
     Columns with few distinct values use the built-in exact percentile (its state
     holds the distinct values). For the others the two neighbouring order
     statistics are bracketed by approximate percentiles until few distinct values
-    remain between the brackets, and are then read off exactly.
+    remain between the brackets, and are then read off exactly. All columns and
+    probabilities share each pass.
     """
     cols = list(cols)
     if not cols:
         return {}
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     head = data.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)],
+        *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))],
+        *[F.approx_count_distinct(f"c{i}").alias(f"d{i}") for i in range(len(cols))],
     ).first()
-    sizes = {c: head[f"n_{i}"] for i, c in enumerate(cols)}
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols if sizes[c] == 0}
-    small = [c for i, c in enumerate(cols) if sizes[c] and head[f"d_{i}"] <= one_task_values]
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    small = [i for i in range(len(cols)) if head[f"n{i}"] and head[f"d{i}"] <= one_task_values]
     if small:
-        row = data.agg(*[F.percentile(c, F.array(*map(F.lit, probs))).alias(f"q_{i}") for i, c in enumerate(small)]).first()
-        for i, c in enumerate(small):
-            out[c] = [float(v) for v in row[f"q_{i}"]]
-    for c in cols:
-        if c not in out:
-            out[c] = [_select(data.select(F.col(c).alias("v")).filter("v IS NOT NULL"), sizes[c], p, one_task_values) for p in probs]
+        row = data.agg(*[F.percentile(f"c{i}", F.array(*map(F.lit, probs))).alias(f"q{i}") for i in small]).first()
+        for i in small:
+            out[cols[i]] = [float(v) for v in row[f"q{i}"]]
+    targets = [
+        _Target(i, j, p, head[f"n{i}"]) for i in range(len(cols)) if head[f"n{i}"] and i not in small for j, p in enumerate(probs)
+    ]
+    for t in _selected(data, targets, min(one_task_values, _DRIVER_VALUES)):
+        out[cols[t.col]][t.slot] = t.value
     return out
 
 
-def _select(values: DataFrame, n: int, p: float, one_task_values: int) -> float:
-    pos = p * (n - 1)
-    first, second = math.floor(pos), math.ceil(pos)
-    lo, hi, below, inside = None, None, 0, n
-    eps = 2e-4
-    while True:
-        part = values
-        if lo is not None:
-            part = values.filter((F.col("v") >= lo) & (F.col("v") <= hi))
-        want = [max(0.0, (first - below) / inside - eps), min(1.0, (second - below) / inside + eps)]
-        a, b = part.agg(F.percentile_approx("v", want, 10_000).alias("q")).first()["q"]
-        stat = part.agg(
-            F.count(F.when(F.col("v") < a, 1)).alias("lt"),
-            F.count(F.when((F.col("v") >= a) & (F.col("v") <= b), 1)).alias("mid"),
-            F.approx_count_distinct(F.when((F.col("v") >= a) & (F.col("v") <= b), F.col("v"))).alias("d"),
-        ).first()
-        if not (below + stat["lt"] <= first and second < below + stat["lt"] + stat["mid"]):
-            eps *= 4
-            continue
-        lo, hi, below, inside = a, b, below + stat["lt"], stat["mid"]
-        if a == b:
-            return float(a)
-        if stat["d"] <= one_task_values:
-            break
-    tally = (
-        values.filter((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy("v").count().orderBy("v").collect()
-    )
-    picked = {}
-    seen = below
-    for r in tally:
-        for rank in (first, second):
-            if seen <= rank < seen + r["count"]:
-                picked[rank] = float(r["v"])
-        seen += r["count"]
-    return picked[first] + (picked[second] - picked[first]) * (pos - first)
+@dataclass
+class _Target:
+    """One wanted quantile: ranks first and second lie between lo and hi."""
+
+    col: int
+    slot: int
+    prob: float
+    n: int
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    inside: int = 0
+    eps: float = 2e-4
+    value: float | None = None
+
+    def __post_init__(self):
+        self.inside = self.n
+        pos = self.prob * (self.n - 1)
+        self.first, self.second, self.part = math.floor(pos), math.ceil(pos), pos - math.floor(pos)
+
+    def cell(self):
+        c = F.col(f"c{self.col}")
+        return c if self.lo is None else F.when((c >= self.lo) & (c <= self.hi), c)
+
+
+def _selected(data: DataFrame, targets: list[_Target], enough: int) -> list[_Target]:
+    narrow: list[_Target] = []
+    work = list(targets)
+    while work:
+        cuts = data.agg(*[
+            F.percentile_approx(
+                t.cell(),
+                [max(0.0, (t.first - t.below) / t.inside - t.eps), min(1.0, (t.second - t.below) / t.inside + t.eps)], 10_000,
+            ).alias(f"t{i}")
+            for i, t in enumerate(work)
+        ]).first()
+        aggs = []
+        for i, t in enumerate(work):
+            a, b = cuts[f"t{i}"]
+            mid = F.when((t.cell() >= a) & (t.cell() <= b), t.cell())
+            aggs += [
+                F.count(F.when(t.cell() < a, 1)).alias(f"lt{i}"), F.count(mid).alias(f"mid{i}"),
+                F.approx_count_distinct(mid).alias(f"d{i}"),
+            ]
+        stat = data.agg(*aggs).first()
+        again = []
+        for i, t in enumerate(work):
+            below = t.below + stat[f"lt{i}"]
+            if not (below <= t.first and t.second < below + stat[f"mid{i}"]):
+                t.eps *= 4
+                again.append(t)
+                continue
+            t.lo, t.hi = cuts[f"t{i}"]
+            t.below, t.inside = below, stat[f"mid{i}"]
+            if t.lo == t.hi:
+                t.value = float(t.lo)
+            elif stat[f"d{i}"] <= enough:
+                narrow.append(t)
+            else:
+                again.append(t)
+        work = again
+    if narrow:
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("t"), t.cell().alias("v")) for i, t in enumerate(narrow)]))
+        tally = data.select(cells.alias("r")).select("r.*").filter("v IS NOT NULL").groupBy("t", "v").count().collect()
+        for i, t in enumerate(narrow):
+            seen, found = t.below, {}
+            for v, n in sorted((r["v"], r["count"]) for r in tally if r["t"] == i):
+                for rank in (t.first, t.second):
+                    if seen <= rank < seen + n:
+                        found[rank] = float(v)
+                seen += n
+            t.value = found[t.first] + (found[t.second] - found[t.first]) * t.part
+    return targets
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:

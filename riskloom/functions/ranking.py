@@ -107,7 +107,7 @@ def dense_index(
     work = df.withColumn("_h", hashed)
     n = df.count()
     digits = 1
-    while n / 16**digits > bucket_rows and digits < 5:
+    while n / 16**digits > bucket_rows and digits < 4:
         digits += 1
     work = work.withColumn("_b", F.substring("_h", 1, digits))
     totals = work.groupBy(*by, "_b").agg(F.count("*").alias("_n"))

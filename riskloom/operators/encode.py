@@ -148,12 +148,16 @@ def apply_encode(df: DataFrame, state: EncodeState) -> DataFrame:
 
 
 def _fit_onehot(df: DataFrame, state: EncodeState) -> EncodeState:
+    """Columns far above the limit by estimate are left out before values are counted exactly."""
     limit = int(state.params.get("max_cardinality_threshold", 50))
-    counts = keep_small(category_counts(df, state.columns))
-    widths = {r["column"]: r["count"] for r in counts.groupBy("column").count().collect()}
-    narrow = [c for c in state.columns if widths.get(c, 0) <= limit]
+    rough = df.agg(*[F.approx_count_distinct(as_category(c)).alias(f"_{i}") for i, c in enumerate(state.columns)]).first()
+    maybe = [c for i, c in enumerate(state.columns) if rough[f"_{i}"] <= 10 * limit]
+    found = category_counts(df, maybe).collect() if maybe else []
+    widths: dict[str, int] = {}
+    for r in found:
+        widths[r["column"]] = widths.get(r["column"], 0) + 1
+    narrow = [c for c in maybe if widths.get(c, 0) <= limit]
     state.unencoded = [c for c in state.columns if c not in narrow]
-    found = counts.filter(F.col("column").isin(narrow)).collect() if narrow else []
     for c in narrow:
         values = sorted((r["value"] for r in found if r["column"] == c), key=lambda v: v.encode())
         state.categories[c] = values[1:] if state.params.get("drop") == "first" else values

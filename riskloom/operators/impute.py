@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from riskloom import limits
 from riskloom.functions.columns import (
     categorical_columns, non_numeric_columns, numeric_columns, replace_columns,
 )
@@ -18,6 +22,8 @@ from riskloom.operators.neighbors import knn_join
 from riskloom.session import keep_small
 
 METHODS = ("knn", "median", "missforest")
+MOST_PATTERN_PAIRS = 16
+MODE_VALUES = 100_000
 # Fill texts.
 NO_MODE = "__MISSING__"
 NO_CATEGORY = "Unknown"
@@ -134,8 +140,9 @@ def knn_fill_table(receivers: DataFrame, donors: DataFrame, cols: Sequence[str],
     Distance uses the coordinates both sides have, scaled by width / shared count;
     donors must have the wanted column; the estimate is the plain mean of the k
     nearest donor rows, smaller donor value first on equal distance. Rows with equal
-    values are one weighted donor. Each pair of missing patterns is one exact
-    neighbour join in the shared coordinates.
+    values are one weighted donor. With few missing patterns each pair of patterns is
+    one pruned neighbour join in the shared coordinates; with many, all are searched
+    together block by block. Both are exact.
     Returns (*cols, column, estimate); combinations without any comparable donor are
     absent.
     """
@@ -146,45 +153,91 @@ def knn_fill_table(receivers: DataFrame, donors: DataFrame, cols: Sequence[str],
     give = keep_small(donors.withColumn("_p", pattern))
     r_patterns = [tuple(r["_p"]) for r in recv.select("_p").distinct().collect()]
     d_patterns = [tuple(r["_p"]) for r in give.select("_p").distinct().collect()]
-    width = len(cols)
-    pieces = []
-    for rp in r_patterns:
-        for target, has in zip(cols, rp):
-            if has:
-                continue
-            hits = []
-            for dp in d_patterns:
-                shared = [c for c, a, b in zip(cols, rp, dp) if a and b]
-                if not shared or not dp[cols.index(target)]:
-                    continue
-                vec = F.array(*[F.col(c) for c in shared])
-                mine = recv.filter(F.col("_p") == F.array(*map(F.lit, rp))).select(vec.alias("vec"), *[c for c, a in zip(cols, rp) if a])
-                theirs = (
-                    give.filter(F.col("_p") == F.array(*map(F.lit, dp)))
-                    .groupBy(vec.alias("vec"), F.col(target).alias("tie")).agg(F.sum("n").alias("w"))
-                )
-                near = knn_join(mine, theirs, k).withColumn("dist", F.col("dist") * (width / len(shared)) ** 0.5)
-                hits.append(mine.join(near, "vec").drop("vec", "rank"))
-            if not hits:
-                continue
-            known = [c for c, a in zip(cols, rp) if a]
-            order = Window.partitionBy(*known).orderBy("dist", "tie").rowsBetween(Window.unboundedPreceding, -1)
-            used = (
-                reduce(DataFrame.unionByName, hits)
-                .withColumn("before", F.coalesce(F.sum("w").over(order), F.lit(0)))
-                .withColumn("take", F.least(F.col("w"), F.lit(k) - F.col("before")))
-                .filter("take > 0")
-            )
-            est = used.groupBy(*known).agg((F.sum(F.col("tie") * F.col("take")) / F.sum("take")).alias("estimate"))
-            pieces.append(
-                est.select(
-                    *[F.col(c) if c in known else F.lit(None).cast("double").alias(c) for c in cols],
-                    F.lit(target).alias("column"), "estimate",
-                )
-            )
-    if not pieces:
+    pairs = [
+        (rp, dp, target)
+        for rp in r_patterns for dp in d_patterns for i, target in enumerate(cols)
+        if not rp[i] and dp[i] and any(a and b for a, b in zip(rp, dp))
+    ]
+    if len(pairs) > MOST_PATTERN_PAIRS:
+        hits = masked_knn(recv.drop("_p"), give.drop("_p"), cols, k)
+    else:
+        hits = None
+        for rp, dp, target in pairs:
+            part = _pattern_hits(recv, give, cols, rp, dp, target, k)
+            hits = part if hits is None else hits.unionByName(part)
+    if hits is None:
         return recv.limit(0).select(*cols, F.lit("").alias("column"), F.lit(0.0).alias("estimate"))
-    return reduce(DataFrame.unionByName, pieces)
+    order = Window.partitionBy(*cols, "column").orderBy("dist", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    used = (
+        hits.withColumn("before", F.coalesce(F.sum("w").over(order), F.lit(0)))
+        .withColumn("take", F.least(F.col("w"), F.lit(k) - F.col("before")))
+        .filter("take > 0")
+    )
+    return used.groupBy(*cols, "column").agg((F.sum(F.col("tie") * F.col("take")) / F.sum("take")).alias("estimate"))
+
+
+def _pattern_hits(recv: DataFrame, give: DataFrame, cols: list[str], rp: tuple, dp: tuple, target: str, k: int) -> DataFrame:
+    """(*cols, column, dist, tie, w) of one pair of missing patterns."""
+    shared = [c for c, a, b in zip(cols, rp, dp) if a and b]
+    vec = F.array(*[F.col(c) for c in shared])
+    mine = recv.filter(F.col("_p") == F.array(*map(F.lit, rp))).select(vec.alias("vec"), *cols)
+    theirs = (
+        give.filter(F.col("_p") == F.array(*map(F.lit, dp)))
+        .groupBy(vec.alias("vec"), F.col(target).alias("tie")).agg(F.sum("n").alias("w"))
+    )
+    near = knn_join(mine, theirs, k).withColumn("dist", F.col("dist") * (len(cols) / len(shared)) ** 0.5)
+    return mine.join(near, "vec").select(*cols, F.lit(target).alias("column"), "dist", "tie", "w")
+
+
+def masked_knn(recv: DataFrame, give: DataFrame, cols: list[str], k: int, block_rows: int = limits.BLOCK_ROWS) -> DataFrame:
+    """(*cols, column, dist, tie, w): k nearest weighted donors per receiver and missing column.
+
+    Every block of receivers meets every block of donors; a task holds two blocks and
+    emits at most k rows per receiver and column.
+    """
+    r_blocks = max(1, math.ceil(recv.count() / block_rows))
+    d_blocks = max(1, math.ceil(give.count() / block_rows))
+
+    def in_blocks(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        return df.withColumn(own, F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+        )
+
+    schema = ", ".join(f"`{c}` double" for c in cols) + ", `column` string, dist double, tie double, w bigint"
+
+    def top(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        names = [*cols, "column", "dist", "tie", "w"]
+        pieces = [pd.DataFrame({n: [] for n in names})]
+        if not len(a) or not len(b):
+            return pieces[0]
+        x, y, w = a[cols].to_numpy(dtype=float), b[cols].to_numpy(dtype=float), b["n"].to_numpy()
+        for start in range(0, len(x), 256):
+            part = x[start:start + 256]
+            total, shared = np.zeros((len(part), len(y))), np.zeros((len(part), len(y)))
+            for j in range(len(cols)):
+                gap = part[:, j, None] - y[None, :, j]
+                both = ~np.isnan(gap)
+                total += np.where(both, gap * gap, 0.0)
+                shared += both
+            dist = np.where(shared > 0, np.sqrt(total * (len(cols) / np.maximum(shared, 1))), np.inf)
+            for j, c in enumerate(cols):
+                who, usable = np.flatnonzero(np.isnan(part[:, j])), np.flatnonzero(~np.isnan(y[:, j]))
+                if not len(who) or not len(usable):
+                    continue
+                by_value = usable[y[usable, j].argsort(kind="stable")]
+                d = dist[np.ix_(who, by_value)]
+                best = d.argsort(axis=1, kind="stable")[:, :k]
+                rows, hit = np.repeat(who, best.shape[1]), by_value[best.ravel()]
+                found = pd.DataFrame(part[rows], columns=cols)
+                found["column"], found["dist"], found["tie"], found["w"] = c, dist[rows, hit], y[hit, j], w[hit]
+                pieces.append(found[np.isfinite(found["dist"])])
+        return pd.concat(pieces, ignore_index=True)[names]
+
+    left = in_blocks(recv, "_rb", r_blocks, "_db", d_blocks)
+    right = in_blocks(give, "_db", d_blocks, "_rb", r_blocks)
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    found = left.groupBy("_rb", "_db").cogroup(right.groupBy("_rb", "_db")).applyInPandas(top, schema)
+    return found.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in cols], "column", "dist", "tie", "w")
 
 
 def impute_knn(df: DataFrame, donors: DataFrame, means: dict[str, float | None], cols: Sequence[str], k: int) -> DataFrame:
@@ -214,12 +267,26 @@ def impute_knn(df: DataFrame, donors: DataFrame, means: dict[str, float | None],
     )
 
 
+def _worth_counting(df: DataFrame, cols: list[str]) -> list[str]:
+    if not cols:
+        return []
+    row = df.agg(
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"h{i}") for i, c in enumerate(cols)],
+        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)],
+    ).first()
+    return [c for i, c in enumerate(cols) if row[f"h{i}"] or row[f"d{i}"] <= MODE_VALUES]
+
+
 def fit_impute(df: DataFrame, method: str = "knn", exclude: Sequence[str] = (), **params) -> ImputeState:
-    """Learn every fill from training rows; ``exclude`` names target and identifiers."""
+    """Learn every fill from training rows; ``exclude`` names target and identifiers.
+
+    A non-numeric column gets a mode if it has NULLs or few distinct values; one that
+    has neither (a complete, identifier-like column) is not counted.
+    """
     if method not in METHODS:
         raise ValueError(f"unknown imputation method: {method}")
     numeric = numeric_columns(df, exclude)
-    state = ImputeState(method, column_modes(df, non_numeric_columns(df, exclude)), medians(df, numeric))
+    state = ImputeState(method, column_modes(df, _worth_counting(df, non_numeric_columns(df, exclude))), medians(df, numeric))
     holes = null_bearing(df, numeric) if method != "median" else []
     if method == "knn" and holes:
         state.knn_columns = holes

@@ -20,8 +20,9 @@ from riskloom import limits
 from riskloom.functions.ranking import smallest_by_hash
 from riskloom.session import hold, settle
 
-_MAX_PIVOTS = 1_024
+_MAX_PIVOTS = 16_384
 _POINTS_PER_PIVOT = 2_000
+_MATRIX = 4_000_000
 
 
 def knn_join(
@@ -85,11 +86,22 @@ def _ranked(hits: DataFrame, k: int, extra: list[str]) -> DataFrame:
 
 
 def _with_blocks(s: DataFrame, blocks: np.ndarray) -> DataFrame:
-    return s.withColumn("block", F.pmod(F.xxhash64("vec", "tie"), _by_cell(blocks)).cast("int"))
+    sized = s.join(_per_cell(s, {i: int(b) for i, b in enumerate(blocks)}, "_blocks"), "cell")
+    return sized.withColumn("block", F.pmod(F.xxhash64("vec", "tie"), F.col("_blocks")).cast("int")).drop("_blocks")
 
 
-def _by_cell(values: np.ndarray):
-    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("cell") + 1)
+def _per_cell(df: DataFrame, values: dict[int, int], name: str) -> DataFrame:
+    """At most one row per pivot, to broadcast."""
+    rows = pd.DataFrame({"cell": list(values), name: list(values.values())})
+    return F.broadcast(df.sparkSession.createDataFrame(rows, f"cell int, {name} int"))
+
+
+def _chunks(batches, width: int):
+    """Slices of the input batches whose distance matrix to ``width`` points stays small."""
+    step = max(1, _MATRIX // max(1, width))
+    for pdf in batches:
+        for start in range(0, len(pdf), step):
+            yield pdf.iloc[start:start + step]
 
 
 def _to_pivots(vecs: pd.Series, pivots: np.ndarray) -> np.ndarray:
@@ -112,11 +124,10 @@ def _nearest_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     )
 
     def assign(batches):
-        for pdf in batches:
-            if len(pdf):
-                d = _to_pivots(pdf["vec"], pivots)
-                cell = d.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), pd=d[np.arange(len(pdf)), cell])
+        for pdf in _chunks(batches, len(pivots)):
+            d = _to_pivots(pdf["vec"], pivots)
+            cell = d.argmin(axis=1)
+            yield pdf.assign(cell=cell.astype("int32"), pd=d[np.arange(len(pdf)), cell])
 
     return df.mapInPandas(assign, schema)
 
@@ -129,12 +140,9 @@ def _visits(q: DataFrame, pivots, radius, count, k: int, own: bool) -> DataFrame
     """
     filled = np.flatnonzero(count > 0)
     centre, rad, size = pivots[filled], radius[filled], count[filled]
-    gaps = block_distances(centre, centre)
 
     def plan(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in _chunks(batches, len(centre)):
             d = _to_pivots(pdf["vec"], centre)
             near = d.argmin(axis=1)
             if own:
@@ -149,7 +157,8 @@ def _visits(q: DataFrame, pivots, radius, count, k: int, own: bool) -> DataFrame
             reach = pdf["reach"].to_numpy(dtype=float)
             bound = np.where(np.isnan(reach), bound, np.minimum(reach, bound))
             with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d**2 - d[rows, near][:, None] ** 2) / (2 * gaps[near])
+                gaps = block_distances(centre[near], centre)
+                plane = (d**2 - d[rows, near][:, None] ** 2) / (2 * gaps)
             lower = np.maximum(d - rad[None, :], np.nan_to_num(plane, nan=0.0, posinf=0.0, neginf=0.0))
             visit = lower <= bound[:, None] * (1 + 1e-9) + 1e-12
             visit[rows, near] = False
@@ -166,12 +175,15 @@ def _search(visits: DataFrame, s_cells: DataFrame, blocks, k: int, schema, block
     else:
         visits = hold(visits)
         load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-    lanes = np.array([max(1, math.ceil(load.get(i, 0) / block_rows)) for i in range(len(blocks))])
-    left = visits.withColumn("lane", F.pmod(F.xxhash64("vec"), _by_cell(lanes)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), _by_cell(blocks) - 1))
+    lanes = _per_cell(visits, {int(c): max(1, math.ceil(n / block_rows)) for c, n in load.items()}, "_lanes")
+    parts = _per_cell(visits, {int(c): int(blocks[c]) for c in load}, "_blocks")
+    left = (
+        visits.join(lanes, "cell").join(parts, "cell")
+        .withColumn("lane", F.pmod(F.xxhash64("vec"), F.col("_lanes")).cast("int"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .drop("_lanes", "_blocks")
     )
-    used = s_cells.filter(F.col("cell").isin([int(c) for c in load])) if len(load) < len(blocks) else s_cells
-    right = used.withColumn("lane", F.explode(F.sequence(F.lit(0), _by_cell(lanes) - 1)))
+    right = s_cells.join(lanes, "cell").withColumn("lane", F.explode(F.sequence(F.lit(0), F.col("_lanes") - 1))).drop("_lanes")
     names = schema.names
 
     def top(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -192,4 +204,5 @@ def _search(visits: DataFrame, s_cells: DataFrame, blocks, k: int, schema, block
         return pd.concat(pieces, ignore_index=True)
 
     keys = ["cell", "block", "lane"]
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(top, schema)

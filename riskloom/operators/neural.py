@@ -20,6 +20,7 @@ from riskloom.functions.hashing import order_hash
 from riskloom.session import hold
 
 ROWS_PER_PART = 5_000
+MOST_ROWS_PER_PART = 1_000_000
 _TINY = 1e-7
 
 
@@ -127,7 +128,7 @@ def fit_network(
     h = order_hash(seed, key) if key else F.md5(F.to_json(F.struct(x.alias("x"), F.col(label))))
     data = train.select(x.alias("x"), F.col(label).cast("int").alias("y"), h.alias("h"))
     n = train.count()
-    parts = max(1, min(math.ceil(n / ROWS_PER_PART), max(data.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)))
+    parts = max(1, min(math.ceil(n / ROWS_PER_PART), max(math.ceil(n / MOST_ROWS_PER_PART), spark.sparkContext.defaultParallelism)))
     split = F.substring("h", 1, 4) < F.lit(f"{int(65536 * 0.1):04x}")
     fit_rows = hold(data.filter(~split).repartition(parts, "h").sortWithinPartitions("h"))
     watch = hold(data.filter(split))

@@ -66,11 +66,7 @@ def term_weights(texts: DataFrame, ngram_max: int = 1, min_df: int = 5, max_df:
 
 
 def tfidf_rows(texts: DataFrame, weights: DataFrame, ngram_max: int = 1, carry: Sequence[str] = ("text", "n")) -> DataFrame:
-    """(..., term, tfidf) with unit length per text.
-
-    The lengths are summed with map-side combine and joined back, rather than by a
-    window over each text.
-    """
+    """(..., term, tfidf) with unit length per text; a text has as many rows as it has terms."""
     raw = term_rows(texts, ngram_max, carry).join(weights.select("term", "idf"), "term")
     own = Window.partitionBy("text")
     value = F.col("tf") * F.col("idf")

@@ -64,12 +64,13 @@ def settle(df: DataFrame) -> DataFrame:
 def keep_small(df: DataFrame, rows: int = limits.LOCAL_ROWS) -> DataFrame:
     """A fitted table: local rows if there are few (checked), else reliable storage.
 
-    Local rows join without a job of their own.
+    Local rows join without a job of their own. The table is computed once either way.
     """
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows <= rows:
-        return df.sparkSession.createDataFrame(head, df.schema)
-    return settle(df)
+    kept = hold(df)
+    head = kept.limit(rows + 1).toArrow()
+    out = df.sparkSession.createDataFrame(head, df.schema) if head.num_rows <= rows else settle(kept)
+    kept.unpersist()
+    return out
 
 
 def hold(df: DataFrame) -> DataFrame:

@@ -51,7 +51,9 @@ def nan_knn(x, k):
     return out
 
 
-def test_knn_impute_equals_brute_force(spark):
+@pytest.mark.parametrize("pairs", [0, 1000])
+def test_knn_impute_equals_brute_force(spark, monkeypatch, pairs):
+    monkeypatch.setattr(impute, "MOST_PATTERN_PAIRS", pairs)
     rng = np.random.default_rng(5)
     x = np.round(rng.normal(size=(160, 3)) * 1e6) / 1e6
     x[rng.random(x.shape) < 0.25] = np.nan
@@ -138,3 +140,20 @@ def test_too_low_ratio_leaves_the_data(spark):
 def test_too_few_rows_for_smote_leaves_the_data(spark):
     df = spark.createDataFrame([(i, int(i > 7), float(i)) for i in range(10)], "id int, y int, a double")
     assert resample.resample(df, "y", "id", "smote", ["a"]).count() == 10
+
+
+def test_masked_search_in_many_blocks(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(size=(90, 3)), 3)
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x = x[~np.isnan(x).all(axis=1)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"]).assign(n=1))
+    df = df.select("n", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in "abc"])
+    recv = df.filter("a is null or b is null or c is null").drop("n")
+    one = impute.masked_knn(recv, df, ["a", "b", "c"], 3, block_rows=1000)
+    many = impute.masked_knn(recv, df, ["a", "b", "c"], 3, block_rows=20)
+    best = lambda t: {
+        key: sorted(zip(g["dist"].round(9), g["tie"]))[:3]
+        for key, g in t.toPandas().fillna(-9).groupby(["a", "b", "c", "column"])
+    }
+    assert best(one) == best(many)
