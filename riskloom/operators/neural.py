@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.hashing import order_hash
+from riskloom.operators.metrics import binary_cells, class_cells, rank_metrics
 from riskloom.session import hold
 
 ROWS_PER_PART = 5_000
@@ -159,7 +160,10 @@ def fit_network(
         sent.unpersist()
         val_loss, val_acc = _watch(watch, state[:size], sizes)
         history.append(
-            {"epoch": epoch + 1, "loss": total["loss"] / total["n"], "val_loss": val_loss, "val_accuracy": val_acc}
+            {
+                "epoch": epoch + 1, "loss": total["loss"] / total["n"], "val_loss": val_loss, "val_accuracy": val_acc,
+                "val_auprc": _watch_auprc(watch, Network(sizes, state[:size])) if params.get("track_auprc") else None,
+            }
         )
         if val_loss < best_loss:
             best, best_loss, waited = state[:size].copy(), val_loss, 0
@@ -216,8 +220,20 @@ def _watch(rows: DataFrame, weights: np.ndarray, sizes: Sequence[int]) -> tuple[
     return s["l"] / s["n"], s["r"] / s["n"]
 
 
+def _watch_auprc(rows: DataFrame, network: Network) -> float | None:
+    """Average precision on the watched rows, macro over classes."""
+    scored = rows.select("y", _probabilities(rows, network, F.col("x")).alias("p"))
+    cells = binary_cells(scored, "y", F.element_at("p", 2)) if network.classes == 2 else class_cells(scored, "y", "p")
+    values = [r["auprc"] for r in rank_metrics(cells).collect()]
+    return sum(values) / len(values) if values and None not in values else None
+
+
 def predict(df: DataFrame, network: Network, features: Sequence[str]) -> Column:
     """Class probabilities of the feature columns."""
+    return _probabilities(df, network, F.array(*[F.col(c).cast("double") for c in features]))
+
+
+def _probabilities(df: DataFrame, network: Network, x: Column) -> Column:
     sent = df.sparkSession.sparkContext.broadcast(network.weights)
     sizes = network.sizes
 
@@ -228,4 +244,4 @@ def predict(df: DataFrame, network: Network, features: Sequence[str]) -> Column:
             p = np.hstack([1.0 - p, p])
         return pd.Series(list(p))
 
-    return run(F.array(*[F.col(c).cast("double") for c in features]))
+    return run(x)

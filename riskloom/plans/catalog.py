@@ -266,7 +266,7 @@ def encode_word2vec(spark, sf):
     return _encoded(views.apps(spark, sf).select("ID", *CATS), "word2vec", embedding_dim=25, window=1)
 
 
-def encode_row_word2vec(spark, sf):
+def encode_row_embedding(spark, sf):
     return _encoded(views.apps(spark, sf).select("ID", *CATS), "row_word2vec", n_components=20)
 
 
@@ -591,7 +591,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     impute_mode, impute_categorical, impute_median, impute_median_stateful, impute_knn, impute_iterative_rf,
     impute_missforest_mixed, impute_final_sweep, outlier_iqr, outlier_iforest,
     encode_onehot, encode_onehot_drop_first, encode_label, encode_ordinal, rows_to_text, encode_tfidf, encode_lsa, encode_word2vec,
-    encode_row_word2vec, encode_row_fasttext, encode_leave_one_out,
+    encode_row_embedding, encode_row_fasttext, encode_leave_one_out,
     class_targets, resample_oversample, resample_undersample, resample_smote, resample_adasyn,
     scale_standard, scale_minmax, scale_test, scale_on_score,
     model_logreg, model_logreg_multiclass, model_random_forest, model_gradient_boosting, model_gradient_boosting_multiclass,

@@ -12,7 +12,7 @@ from riskloom.functions.ranking import at_or_below, hash_cutoffs
 from riskloom.operators import models
 from riskloom.session import hold
 
-HISTORY = "epoch int, loss double, val_loss double, val_accuracy double"
+HISTORY = "epoch int, loss double, val_loss double, val_accuracy double, val_auprc double"
 
 
 def learning_curve(
@@ -54,6 +54,6 @@ def learning_curve(
 
 def training_history(df: DataFrame, features: Sequence[str], label: str, key: str, params: dict | None = None, seed: int = 42) -> DataFrame:
     """One row per epoch of a network fit."""
-    model = models.fit_model(hold(df), "neural_network", features, label, params, seed, key)
-    rows = [(h["epoch"], h["loss"], h["val_loss"], h["val_accuracy"]) for h in model.history]
+    model = models.fit_model(hold(df), "neural_network", features, label, {**(params or {}), "track_auprc": True}, seed, key)
+    rows = [(h["epoch"], h["loss"], h["val_loss"], h["val_accuracy"], h["val_auprc"]) for h in model.history]
     return df.sparkSession.createDataFrame(rows, HISTORY)

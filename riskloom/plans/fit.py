@@ -18,7 +18,7 @@ from riskloom.functions.columns import nan_to_null, reject_nested
 from riskloom.functions.rowid import with_row_id
 from riskloom.operators import encode, impute, models, outliers, resample, scale, schema, scoring
 from riskloom.operators.metrics import evaluate
-from riskloom.operators.split import holdout_test
+from riskloom.operators.split import evaluation_split, holdout_test
 from riskloom.session import hold
 
 LABEL, ROW = "_y", "_rid"
@@ -37,6 +37,7 @@ class Prepared:
     impute: impute.ImputeState
     encode: encode.EncodeState
     scale: scale.ScaleState
+    balanced: DataFrame
 
 
 @dataclass
@@ -102,7 +103,7 @@ def shape(
 ) -> Shaped:
     """Rows with a known target, keyed and split; identifier columns leave the features.
 
-    A table of few rows often comes in fewer partitions than there are cores and is
+    A test table without known targets gives way to a validation cut of train. A table of few rows often comes in fewer partitions than there are cores and is
     spread; a large one keeps the layout of its scan.
     """
     reject_nested(df)
@@ -111,11 +112,13 @@ def shape(
     ids = schema.id_columns(df, target)
     keys = list(keys) or ids[:1]
     keyed = with_row_id(nan_to_null(df), keys)
+    evaluated_on = "test_set"
     if test is None:
         is_test, n = holdout_test(keyed, [ROW], fraction, seed)
         train, rest = keyed.filter(~is_test), keyed.filter(is_test)
     else:
-        train, rest, n = keyed, with_row_id(nan_to_null(test), keys), df.count()
+        train, rest, evaluated_on = evaluation_split(keyed, with_row_id(nan_to_null(test), keys), target, [ROW], fraction, seed)
+        n = df.count()
     train = train.filter(F.col(target).isNotNull())
     state = schema.fit_target(train, target)
     dropped = list(dict.fromkeys([*ids, *[k for k in keys if k != target]]))
@@ -129,7 +132,7 @@ def shape(
 
     train, rest = hold(shaped(train)), hold(shaped(rest))
     raw = T.StructType([df.schema[c] for c in keep])
-    return Shaped(train, rest, state, raw, dropped, "test_set")
+    return Shaped(train, rest, state, raw, dropped, evaluated_on)
 
 
 def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepared:
@@ -183,7 +186,7 @@ def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepar
         return hold(scale.apply_scale(balanced, state)), hold(scale.apply_scale(coded_test, state)), state
 
     ready, ready_test, scaled = step("scaling", do_scale)
-    return Prepared(ready, ready_test, imputed, encoded, scaled)
+    return Prepared(ready, ready_test, imputed, encoded, scaled, balanced)
 
 
 def train_and_evaluate(data: Shaped, config: dict, ready: Prepared, seed: int = 42) -> Fitted:
@@ -207,4 +210,8 @@ def fit_config(
 ) -> Fitted:
     """One configuration end to end."""
     data = shape(df, target, keys, test, seed=seed)
-    return train_and_evaluate(data, config, prepare(data, config), seed)
+    ready = prepare(data, config)
+    fitted = train_and_evaluate(data, config, ready, seed)
+    for kept in (data.train, data.test, ready.balanced, ready.train, ready.test):
+        kept.unpersist()
+    return fitted

@@ -30,9 +30,12 @@ def safe_names(columns: list[str]) -> dict[str, str]:
     return out
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header. Types are inferred in one pass unless a schema is given."""
-    raw = spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header. Types are inferred in one pass unless a schema is given.
+
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    """
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     raw = raw.toDF(*safe_names(raw.columns).values())
     clean = raw.select(*[F.when(~F.col(c).isin(MISSING_TOKENS), F.col(c)).alias(c) for c in raw.columns])
     if schema is None:
@@ -73,12 +76,14 @@ def _parse(name: str, kind: T.DataType) -> Column:
     return F.trim(F.col(name)).try_cast(kind)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, zero_as_null=()) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, zero_as_null=(), multi_line: bool = False
+) -> DataFrame:
     """A table by file type; NaN is NULL from here on."""
     if not path:
         raise ValueError("no data path given")
     if path.rstrip("/").endswith((".csv", ".csv.gz")):
-        df = read_csv(spark, path, schema)
+        df = read_csv(spark, path, schema, multi_line)
     else:
         df = spark.read.parquet(path)
         df = df.toDF(*safe_names(df.columns).values())

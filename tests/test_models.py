@@ -243,3 +243,24 @@ def test_stream_of_files_is_scored(spark, sf):
     query.awaitTermination(120)
     assert query.exception() is None
     assert spark.read.parquet(out).drop("batch").count() == apps.count()
+
+
+def test_unlabelled_test_table_gives_way_to_a_validation_cut(spark, sf):
+    apps = views.apps(spark, sf)
+    data = fit.shape(apps, "label", ["ID"], test=apps.withColumn("label", F.lit(None).cast("int")))
+    assert data.evaluated_on == "validation_set_from_train" and data.test.count() == math.ceil(0.2 * apps.count())
+
+
+def test_history_and_description(spark, blobs, sf):
+    out = curves.training_history(blobs, ["a", "b"], "y", "id", {"epochs": 2, "hidden_layer_sizes": (8,)}).collect()
+    assert len(out) == 2 and 0 < out[-1]["val_auprc"] <= 1
+    fitted = fit.fit_config(views.apps(spark, sf), "label", catalog.FLAGSHIP)
+    path = bundle.save(fitted, spark, scratch_path(spark, "m"), "orders")
+    assert bundle.describe(spark, path)["target_column"] == "label"
+
+
+def test_scoring_is_map_only(spark, sf):
+    fitted = fit.fit_config(views.apps(spark, sf), "label", catalog.FLAGSHIP)
+    rows = spark.createDataFrame(views.apps(spark, sf).limit(20).toPandas(), views.apps(spark, sf).schema)
+    plan = fitted.score(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SinglePartition" not in plan
