@@ -286,8 +286,9 @@ def fit_impute(df: DataFrame, method: str = "knn", exclude: Sequence[str] = (),
     if method not in METHODS:
         raise ValueError(f"unknown imputation method: {method}")
     numeric = numeric_columns(df, exclude)
-    state = ImputeState(method, column_modes(df, _worth_counting(df, non_numeric_columns(df, exclude))), medians(df, numeric))
     holes = null_bearing(df, numeric) if method != "median" else []
+    modes = column_modes(df, _worth_counting(df, non_numeric_columns(df, exclude)))
+    state = ImputeState(method, modes, medians(df, [c for c in numeric if c not in holes]))
     if method == "knn" and holes:
         state.knn_columns = holes
         state.k = int(params.get("n_neighbors", 5))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom import limits
 from riskloom.functions.ranking import value_buckets
-from riskloom.session import hold
+from riskloom.session import hold, settle
 
 REPORT_SCHEMA = "class string, metric string, value double"
 
@@ -89,7 +89,7 @@ def ranked_scores(cells: DataFrame, bucket_rows: int = limits.ONE_TASK_ROWS, at_
     groups = cells.groupBy("cls", "score").agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg"))
     m = at_most
     if m is None or m > bucket_rows:
-        groups = hold(groups)
+        groups = settle(groups)
         m = groups.count()
     parts = min(10_000, max(1, math.ceil(m / bucket_rows)))
     work = value_buckets(groups, "score", parts=parts) if parts > 1 else groups.withColumn("_bucket", F.lit(0.0))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from riskloom import limits
 from riskloom.functions.ranking import smallest_by_hash
-from riskloom.session import hold, settle
+from riskloom.session import keep_small, settle
 
 _MAX_PIVOTS = 16_384
 _POINTS_PER_PIVOT = 2_000
@@ -36,10 +36,11 @@ def knn_join(
     """
     extra = [c for c in donors.columns if c not in ("vec", "tie")]
     per_vec = Window.partitionBy("vec").orderBy("tie")
-    s = settle(
-        donors.withColumn("_rn", F.row_number().over(per_vec)).filter(F.col("_rn") <= k).drop("_rn")
+    s = keep_small(
+        donors.withColumn("_rn", F.row_number().over(per_vec)).filter(F.col("_rn") <= k).drop("_rn"),
+        limits.LOCAL_VECTORS,
     )
-    q = settle(queries.select("vec").distinct())
+    q = keep_small(queries.select("vec").distinct(), limits.LOCAL_VECTORS)
     n = s.count()
     schema = T.StructType(
         [T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("dist", T.DoubleType())]
@@ -173,7 +174,7 @@ def _search(visits: DataFrame, s_cells: DataFrame, blocks, k: int, schema, block
     if len(blocks) == 1:
         load = {0: visits.count()}
     else:
-        visits = hold(visits)
+        visits = settle(visits)
         load = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
     lanes = _per_cell(visits, {int(c): max(1, math.ceil(n / block_rows)) for c, n in load.items()}, "_lanes")
     parts = _per_cell(visits, {int(c): int(blocks[c]) for c in load}, "_blocks")

@@ -18,7 +18,7 @@ from riskloom.functions.hashing import order_hash, pick, unit
 from riskloom.functions.lookup import lookup
 from riskloom.functions.ranking import at_or_below, dense_index, hash_cutoffs
 from riskloom.operators.neighbors import knn_join
-from riskloom.session import keep_small, settle
+from riskloom.session import keep_small
 
 METHODS = ("none", "oversample", "undersample", "smote", "adasyn")
 log = logging.getLogger(__name__)
@@ -165,7 +165,7 @@ def near_lists(rows: DataFrame, donors: DataFrame, k: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rank", "dist", "tie", *payload))).alias("nb")
     )
     weights = rows.groupBy("vec").agg(F.count("*").alias("_n"))
-    table = keep_small(weights.join(lists, "vec"), 2_000)
+    table = keep_small(weights.join(lists, "vec"), limits.LOCAL_VECTORS)
     joined = lookup(rows, table, "vec", ["nb"], "_n")
     others = F.filter("nb", lambda x: x["tie"] != F.col("_key"))
     return joined.withColumn("nb", F.slice(others, 1, k))
@@ -206,7 +206,7 @@ def smote(
             continue
         if n <= k:
             raise CannotResample(f"class {c} has {n} rows, too few for {k} neighbours")
-        mine = settle(dense_index(points.filter(F.col("_label") == F.lit(c)), order_hash(seed, "_key")))
+        mine = keep_small(dense_index(points.filter(F.col("_label") == F.lit(c)), order_hash(seed, "_key")), limits.LOCAL_VECTORS)
         j = F.col("id")
         draws = df.sparkSession.range(g).select(
             (j + 1).alias("_copy"),
@@ -235,12 +235,13 @@ def adasyn_weights(
     ratio is the share of other-class rows among the k nearest in the whole table;
     draws = round(ratio / sum of ratios * grow), halves to even.
     """
-    points = settle(_points(df, label, key, features))
+    points = keep_small(_points(df, label, key, features), limits.LOCAL_VECTORS)
     mine = points.filter(F.col("_label") == F.lit(cls))
     near = near_lists(mine, points.select("vec", "_key", F.col("_label").alias("other")), k)
-    rated = settle(
+    rated = keep_small(
         near.withColumn("ratio", F.size(F.filter("nb", lambda x: x["other"] != F.lit(cls))) / F.lit(float(k)))
-        .select("_key", "_label", "vec", "ratio")
+        .select("_key", "_label", "vec", "ratio"),
+        limits.LOCAL_VECTORS,
     )
     total = rated.agg(F.sum("ratio").alias("s")).first()["s"]
     if not total:
@@ -263,7 +264,7 @@ def adasyn(
         if n <= k:
             raise CannotResample(f"class {c} has {n} rows, too few for {k} neighbours")
         rated = adasyn_weights(df, label, key, features, k, c, g)
-        busy = settle(rated.filter("draws > 0"))
+        busy = keep_small(rated.filter("draws > 0"), limits.LOCAL_VECTORS)
         near = near_lists(busy, rated.select("vec", "_key", F.col("vec").alias("other")), k)
         draws = _repeat(near)
         chosen = (pick(order_hash(f"{seed}:near", F.lit(c), "_key", "_copy"), F.lit(k)) + 1).cast("int")

@@ -20,6 +20,7 @@ from riskloom.operators import encode, impute, models, outliers, resample, scale
 from riskloom.operators.metrics import evaluate
 from riskloom.operators.split import evaluation_split, holdout_test
 from riskloom.session import hold
+from riskloom.sources.tables import safe_names, with_safe_names
 
 LABEL, ROW = "_y", "_rid"
 SMALL_TABLE = 5_000_000
@@ -69,8 +70,10 @@ class Fitted:
 
     def score(self, df: DataFrame, orientation: str = "as_scored") -> DataFrame:
         """Original columns plus prediction, class probabilities and, for two classes, risk."""
+        df, original = with_safe_names(df)
         scored = models.score(self.features(scoring.with_raw(df)), self.model)
-        return scoring.format_results(scored, self.target.classes, orientation)
+        out = scoring.format_results(scored, self.target.classes, orientation)
+        return out.toDF(*[original.get(c, c) for c in out.columns]) if original else out
 
 
 def align_raw(df: DataFrame, raw: T.StructType) -> DataFrame:
@@ -107,6 +110,11 @@ def shape(
     spread; a large one keeps the layout of its scan.
     """
     reject_nested(df)
+    df = schema.drop_duplicate_columns(df)
+    named = safe_names(df.columns)
+    df, _ = with_safe_names(df)
+    test = with_safe_names(test)[0] if test is not None else None
+    target, keys = named.get(target, target), [named.get(k, k) for k in keys]
     if target not in df.columns:
         raise ValueError(f"target column {target!r} is not in the data")
     ids = schema.id_columns(df, target)

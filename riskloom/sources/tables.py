@@ -30,6 +30,13 @@ def safe_names(columns: list[str]) -> dict[str, str]:
     return out
 
 
+def with_safe_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table under safe names, and safe name -> original name where they differ."""
+    names = safe_names(df.columns) if len(set(df.columns)) == len(df.columns) else {c: c for c in df.columns}
+    changed = {safe: name for name, safe in names.items() if safe != name}
+    return (df.toDF(*[names[c] for c in df.columns]) if changed else df), changed
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header. Types are inferred in one pass unless a schema is given.
 

@@ -264,3 +264,11 @@ def test_scoring_is_map_only(spark, sf):
     rows = spark.createDataFrame(views.apps(spark, sf).limit(20).toPandas(), views.apps(spark, sf).schema)
     plan = fitted.score(rows)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "SinglePartition" not in plan
+
+
+def test_dotted_and_repeated_names(spark, sf):
+    apps = views.apps(spark, sf).withColumnRenamed("label", "next.month").withColumnRenamed("c_acctbal", "acct.bal")
+    twice = apps.select("*", F.lit(1.0).alias("o_totalprice"))
+    fitted = fit.fit_config(twice, "next.month", catalog.FLAGSHIP)
+    out = fitted.score(apps)
+    assert "acct.bal" in out.columns and "next.month" in out.columns and out.count() == apps.count()
