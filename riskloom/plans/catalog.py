@@ -557,7 +557,8 @@ def model_registry(spark, sf):
 
 
 def score_preprocess(spark, sf):
-    return flagship(spark, sf).features(views.apps(spark, sf))
+    ready = flagship(spark, sf).features(views.apps(spark, sf))
+    return ready.select(*[r6(c) for c in ready.columns])
 
 
 def score_predict(spark, sf):

@@ -125,6 +125,29 @@ parts AS (SELECT c.o_orderkey, c.stage, c.method,
 SELECT o_orderkey, {cols} FROM parts GROUP BY o_orderkey"""
 
 
+def prepared_sql() -> str:
+    """The flagship preparation: fills, quartile filter, codes and scaling learned on train rows."""
+    cols = ["o_totalprice", "c_acctbal", *CATS]
+    numbers, texts = cols[:2], cols[2:]
+    fill = [f"coalesce({c}, (SELECT median({c}) FROM t)) AS {c}" for c in numbers]
+    fill += [f"coalesce({c}, (SELECT {c} FROM t WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in texts]
+    q = ", ".join(f"quantile_cont({c}, 0.25) AS {c}_a, quantile_cont({c}, 0.75) AS {c}_b" for c in numbers)
+    inside = " AND ".join(f"{c} BETWEEN {c}_a - 1.5 * ({c}_b - {c}_a) AND {c}_b + 1.5 * ({c}_b - {c}_a)" for c in numbers)
+    maps = ", ".join(f"{c}_m AS (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (SELECT DISTINCT {c} FROM k))" for c in texts)
+    joins = " ".join(f"LEFT JOIN {c}_m USING ({c})" for c in texts)
+    coded = ", ".join([*numbers, *[f"CAST(coalesce({c}_m.code, -1) AS DOUBLE) AS {c}" for c in texts]])
+    stats = ", ".join(f"avg({c}) AS {c}_u, stddev_pop({c}) AS {c}_s" for c in cols)
+    out = ", ".join(f"round(({c} - {c}_u) / {c}_s, 6) AS {c}" for c in cols)
+    return f"""WITH {SPLIT}, t AS (SELECT * FROM cut WHERE part = 'train'),
+f AS (SELECT "ID", part, {', '.join(fill)} FROM cut),
+q AS (SELECT {q} FROM f WHERE part = 'train'),
+k AS (SELECT f.* FROM f, q WHERE part = 'train' AND {inside}),
+{maps},
+e AS (SELECT "ID", {coded} FROM f {joins}),
+s AS (SELECT {stats} FROM e WHERE "ID" IN (SELECT "ID" FROM k))
+SELECT {out} FROM e, s"""
+
+
 def grow(label: str, key: str, table: str) -> str:
     return f"""n AS (SELECT {label} AS c, count(*) AS n FROM {table} GROUP BY 1),
 g AS (SELECT c, n, (SELECT max(n) FROM n) - n AS g FROM n),
@@ -285,6 +308,7 @@ def oracle_sql() -> dict[str, str]:
         "predictions_sink": f"""WITH {SCORED_SQL} SELECT event_id, score, CAST(label AS BIGINT) AS label, CAST(score > 0.5 AS BIGINT) AS prediction,
             round(1.0::DOUBLE - score, 6) AS probability_class_0, round(score, 6) AS probability_class_1, round(score, 6) AS credit_score,
             CASE WHEN score > 0.7 THEN 'Low' WHEN score > 0.4 THEN 'Medium' ELSE 'High' END AS risk_level FROM scored""",
+        "score_preprocess": prepared_sql(),
         "risk_level": f"""WITH {SCORED_SQL} SELECT event_id, CASE WHEN score > 0.7 THEN 'Low' WHEN score > 0.4 THEN 'Medium' ELSE 'High' END AS risk_level,
             CASE WHEN score > 0.7 THEN 'High' WHEN score > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_reversed FROM scored""",
     }
