@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import quality, tokens
+from riskloom.llm import decontaminate, jaccard, quality, sql, tokens
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
 
@@ -20,15 +20,28 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_rules(docs).select("doc_id", "_rules.*")
 
 
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
     return tokens.encode_and_read(_table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
 
 
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_token_files": op3_token_files, "op7_quality_rules": op7_quality_rules}
+    return {
+        "op2_decontamination": op2_decontamination,
+        "op3_token_files": op3_token_files,
+        "op7_quality_rules": op7_quality_rules,
+        "op10_jaccard_join": op10_jaccard_join,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.ORACLES
