@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, quality, sql, tokens
+from riskloom.llm import decontaminate, jaccard, lines, quality, sql, tokens
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = lines.drop_repeated_lines(_table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return quality.quality_rules(docs).select("doc_id", "_rules.*")
@@ -38,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
         "op3_token_files": op3_token_files,
+        "op5_line_dedup": op5_line_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op10_jaccard_join": op10_jaccard_join,
     }

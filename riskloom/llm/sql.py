@@ -36,4 +36,31 @@ c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM documents LEFT JOIN n ON n.k = doc_id JOIN c ON c.a = doc_id"""
 
-ORACLES = {"op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD}
+LINES = f"""
+WITH l AS (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS k FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+m AS (SELECT *, {_LOWER.format(t="trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+o AS (SELECT key, max(doc_id) AS keeper FROM m WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+FROM m LEFT JOIN o USING (key) GROUP BY doc_id"""
+
+QUALITY = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, {words('text')} AS w FROM documents),
+w AS (SELECT doc_id, w, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+g AS (SELECT doc_id, word, p, n, array_to_string(w[p:p + n - 1], ' ') AS g FROM w, (VALUES (3), (5), (8), (12)) AS s(n) WHERE p + n - 1 <= len(w)),
+t AS (SELECT doc_id, p, n, count(*) OVER (PARTITION BY doc_id, n, g) > 1 AS twice FROM g),
+c AS (SELECT doc_id, n, unnest(range(p, p + n)) AS p FROM t WHERE twice),
+r AS (SELECT doc_id, count(*) FILTER (n = 3) AS r3, coalesce(sum(length(word)) FILTER (n = 5), 0) AS c5, coalesce(sum(length(word)) FILTER (n = 8), 0) AS c8,
+  coalesce(sum(length(word)) FILTER (n = 12), 0) AS c12 FROM (SELECT DISTINCT doc_id, n, p FROM c) JOIN w USING (doc_id, p) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lc AS (SELECT doc_id, line, count(*) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line),
+q AS (SELECT doc_id, sum(n - 1) AS dup, sum(CASE WHEN n > 1 THEN n * length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) ELSE 0 END) AS chars FROM lc GROUP BY doc_id),
+a AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(r3, 0) AS n_repeat_words, coalesce(chars, 0)::BIGINT AS dup_line_chars,
+  coalesce(c5, 0)::BIGINT AS dup_5gram_chars, coalesce(c8, 0)::BIGINT AS dup_8gram_chars, coalesce(c12, 0)::BIGINT AS dup_12gram_chars
+  FROM d LEFT JOIN r USING (doc_id) LEFT JOIN q USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * greatest(dup_line_chars, dup_5gram_chars, dup_8gram_chars, dup_12gram_chars) <= word_chars AS kept
+FROM a"""
+
+ORACLES = {"op5_line_dedup": LINES, "op7_quality_rules": QUALITY, "op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD}
