@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, lines, quality, sql, tokens
+from riskloom.llm import decontaminate, jaccard, lines, quality, shards, sql, tokens, warc
+from riskloom.session import scratch_path
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
 
@@ -15,6 +16,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    docs = shards.assign_shards(_table(spark, sf, "documents"), shards=8)
+    return docs.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "split")
+
+
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = lines.drop_repeated_lines(_table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
@@ -35,6 +42,12 @@ def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode_and_read(_table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
 
 
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    captures = warc.write_archives(_table(spark, sf, "pages"), folder)
+    return warc.read_captures(folder, warc.write_index(captures, folder))
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -43,8 +56,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
         "op3_token_files": op3_token_files,
+        "op4_sharding": op4_sharding,
         "op5_line_dedup": op5_line_dedup,
         "op7_quality_rules": op7_quality_rules,
+        "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
     }
 

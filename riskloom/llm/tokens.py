@@ -16,6 +16,7 @@ A task holds one Arrow batch of texts and one block; nothing but one manifest ro
 
 from __future__ import annotations
 
+import array
 import itertools
 import json
 import os
@@ -30,13 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.llm.files import Reader, stored, whole_file
-from riskloom.llm.words import slices
+from riskloom.llm.words import LOWER, byte_texts, slices
 from riskloom.session import scratch_path
 
 MAGIC = b"RLIDS\x00\x01\n"
 BLOCK_IDS = 1 << 16
 #: Chunks whose ids a worker remembers.
-CACHE = 300_000
+CACHE = 900_000
 _HEAD = struct.Struct("<IIQQQ")
 
 
@@ -63,9 +64,9 @@ class Encoder:
     """Ids of whole texts, by the library, with the ids of repeated chunks remembered.
 
     A text is cut at spaces and line feeds. The tokenizer's split pattern never joins text across white space
-    and its normalizer maps each white-space run to one space that no token holds, so the ids of the text are those of its
-    chunks in order. That is a property of the vocabulary file, which :func:`splits_at_space` checks; for another the whole text is
-    encoded.
+    and its normalizer lowers letters and maps each white-space run to one space that no token holds, so the ids of the text are those of
+    its chunks in order, whatever the case of A-Z; a comma or full stop behind an ASCII letter or digit is a chunk of its own. That is a
+    property of the vocabulary file, which :func:`splits_at_space` checks; for another the whole text is encoded.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
@@ -73,25 +74,36 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
-        self.end = np.array([end_id], dtype="<u4").tobytes()
+        self.end = array.array("I", [end_id]).tobytes()
         self.by_chunk = splits_at_space(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.marks = [x.content.encode().translate(LOWER) for x in self.tool.get_added_tokens_decoder().values()]
+        self.known: dict[bytes, bytes] = {b"": b""}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
         fast = getattr(self.tool, "encode_batch_fast", self.tool.encode_batch)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in fast(texts, add_special_tokens=False)]
+        return [array.array("I", x.ids).tobytes() for x in fast([t.decode() for t in texts], add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text with the end id behind."""
+    def _learn(self, chunks: set[bytes]) -> None:
+        known = self.known
+        tails = {c for c in chunks if len(c) > 1 and c[-1] in b",." and c[-2:-1].isalnum()}
+        new = [*({c for c in chunks - tails} | {c[:-1] for c in tails} | {c[-1:] for c in tails})]
+        new = [c for c in new if c not in known]
+        for a in range(0, len(new), 20_000):
+            known.update(zip(new[a : a + 20_000], self._ids(new[a : a + 20_000]), strict=True))
+        known.update((c, known[c[:-1]] + known[c[-1:]]) for c in tails)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """32-bit ids of each UTF-8 text with the end id behind, in the machine's byte order."""
         if not self.by_chunk:
             return [x + self.end for x in self._ids(texts)]
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
+        chunks = []
+        for t in texts:
+            low = t.translate(LOWER)
+            chunks.append((t if any(m in low for m in self.marks) else low).replace(b"\n", b" ").split(b" "))
         if len(self.known) > CACHE:
-            self.known = {"": b""}
+            self.known = {b"": b""}
         known = self.known
-        new = [*{c for part in chunks for c in part if c not in known}]
-        for a in range(0, len(new), 20_000):
-            known.update(zip(new[a : a + 20_000], self._ids(new[a : a + 20_000]), strict=True))
+        self._learn({c for part in chunks for c in part if c not in known})
         return [b"".join(map(known.__getitem__, part)) + self.end for part in chunks]
 
 
@@ -236,9 +248,8 @@ def write_tokens(
 
 
 def _append(writer: FileWriter, tool: Encoder, batch: pa.RecordBatch) -> None:
-    texts = [x or "" for x in batch.column("t").to_pylist()]
-    for i, data in zip(batch.column("i").to_pylist(), tool.encode(texts), strict=True):
-        writer.add(i, np.frombuffer(data, dtype="<u4"))
+    for i, data in zip(batch.column("i").to_pylist(), tool.encode(byte_texts(batch.column("t"))), strict=True):
+        writer.add(i, np.frombuffer(data, dtype=np.uintc))
 
 
 def read_tokens(manifest: DataFrame, ids: bool = False) -> DataFrame:
@@ -247,7 +258,7 @@ def read_tokens(manifest: DataFrame, ids: bool = False) -> DataFrame:
     ``start`` counts the ids of all documents before it, over all files; the running sum takes one row per file.
     """
     files = manifest.withColumn("base", F.sum("ids").over(Window.orderBy("part")) - F.col("ids"))
-    files = files.repartition(F.col("path")).select("path", "base")
+    files = files.repartition(max(1, manifest.count()), "path").select("path", "base")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
