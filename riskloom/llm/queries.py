@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, lines, quality, shards, sql, tokens, warc
+from riskloom.llm import decontaminate, jaccard, lines, mixing, quality, secrets, shards, sql, tokens, warc
 from riskloom.session import scratch_path
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
@@ -32,6 +32,20 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_rules(docs).select("doc_id", "_rules.*")
 
 
+def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan_secrets(_table(spark, sf, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != secrets.FOUND)
+    return found.select(
+        "doc_id", *[count(k) for k in secrets.KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count(secrets.FOUND))
+
+
 def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
@@ -42,6 +56,13 @@ def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode_and_read(_table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER), END_ID, VOCABULARY)
 
 
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = mixing.mix_sources(_table(spark, sf, "documents"))
+    return docs.select(
+        "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("cell_weight"),
+        F.col("_chance").alias("chance"), F.col("_sampled").alias("sampled"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     captures = warc.write_archives(_table(spark, sf, "pages"), folder)
@@ -54,11 +75,13 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_decontamination": op2_decontamination,
         "op3_token_files": op3_token_files,
         "op4_sharding": op4_sharding,
         "op5_line_dedup": op5_line_dedup,
         "op7_quality_rules": op7_quality_rules,
+        "op8_mixing": op8_mixing,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
     }

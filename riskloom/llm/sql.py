@@ -70,4 +70,33 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'r
   CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)"""
 
-ORACLES = {"op9_warc": WARC, "op5_line_dedup": LINES, "op7_quality_rules": QUALITY, "op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD}
+def mixing(table: str = "documents", rounds: int = 30, temper: tuple[float, float, float] = (0.5, 0.7, 1.0), seed: int = 17, digits: int = 9) -> str:
+    """Common table expressions that end in ``mixed``: the drawn documents of a table."""
+    axes = ("source", "lang", "topic")
+
+    def marks(chars: str) -> str:
+        return " + ".join(f"length(t) - length(replace(t, '{c}', ''))" for c in chars)
+
+    power = ", ".join(f"pow(sum(tokens) OVER (PARTITION BY {a}) / sum(tokens) OVER (), {p}) AS {a}_p, tokens / sum(tokens) OVER (PARTITION BY {a}) AS {a}_s" for a, p in zip(axes, temper, strict=True))
+    target = ", ".join(f"{a}_p / sum({a}_p * {a}_s) OVER () AS {a}_t" for a in axes)
+    turn = " ".join(f"WHEN {k} THEN weight * {a}_t / sum(weight) OVER (PARTITION BY {a})" for k, a in enumerate(axes))
+    return f"""
+mx AS (SELECT * EXCLUDE (t), CASE
+    WHEN ({marks('|')}) * 50 > length(t) THEN 'table' WHEN ({marks('#*$%&')}) * 20 > length(t) THEN 'symbols'
+    WHEN t <> lower(t) AND t = upper(t) THEN 'shouting' WHEN contains(t, 'License') THEN 'licence' ELSE 'prose' END AS topic,
+    len({words('t')}) AS n_tokens, ('0x' || substr(md5('{seed}:' || doc_id), 1, 12))::BIGINT / 281474976710656.0 AS u
+  FROM (SELECT *, coalesce(text, '') AS t FROM {table})),
+mc AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM mx WHERE n_tokens > 0 GROUP BY ALL),
+mp AS (SELECT *, {power} FROM mc),
+mt AS (SELECT *, {target} FROM mp),
+mw(k, source, lang, topic, tokens, source_t, lang_t, topic_t, weight) AS (
+  SELECT 0, source, lang, topic, tokens, source_t, lang_t, topic_t, tokens / sum(tokens) OVER () FROM mt UNION ALL
+  SELECT k + 1, source, lang, topic, tokens, source_t, lang_t, topic_t, CASE k % 3 {turn} END FROM mw WHERE k < {3 * rounds}),
+mg AS (SELECT source, lang, topic, round(weight, {digits}) AS cell_weight, round(weight / tokens / max(weight / tokens) OVER (), {digits}) AS chance FROM mw WHERE k = {3 * rounds}),
+mixed AS (SELECT mx.*, CASE WHEN n_tokens > 0 THEN cell_weight ELSE 0 END AS cell_weight, CASE WHEN n_tokens > 0 THEN chance ELSE 0 END AS chance,
+  u < CASE WHEN n_tokens > 0 THEN chance ELSE 0 END AS sampled FROM mx LEFT JOIN mg USING (source, lang, topic))"""
+
+
+MIXING = f"WITH RECURSIVE {mixing()} SELECT doc_id, source, lang, topic, n_tokens, cell_weight, chance, sampled FROM mixed"
+
+ORACLES = {"op8_mixing": MIXING, "op9_warc": WARC, "op5_line_dedup": LINES, "op7_quality_rules": QUALITY, "op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD}
