@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, lines, mixing, quality, secrets, shards, sql, tokens, warc
+from riskloom.llm import decontaminate, jaccard, lines, mixing, quality, secrets, shards, sql, substrings, tokens, warc
 from riskloom.session import scratch_path
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
@@ -27,6 +27,12 @@ def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = substrings.drop_repeated_substrings(_table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"), F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return quality.quality_rules(docs).select("doc_id", "_rules.*")
@@ -80,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_files": op3_token_files,
         "op4_sharding": op4_sharding,
         "op5_line_dedup": op5_line_dedup,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_mixing": op8_mixing,
         "op9_warc": op9_warc,
