@@ -5,11 +5,13 @@
 2. Shingles are ordered globally: uncounted ones first by hash, then the frequent ones by rising count class and hash. Any order
    is right as long as it is one order; this one keeps frequent passages out of the prefixes.
 3. Two sets with Jaccard >= t share a shingle among the first ``n - ceil(t n) + 1`` of each. Prefix shingles meet by hash
-   segment, packed as arrays; only those that two classes share go on as rows. Frequent ones go on as rows at once, so no group
+   segment, packed as arrays; only those that two classes share go on as rows. Frequent ones are dealt evenly and all go on, so no group
    of them is gathered in a task.
-4. Each shared shingle links its classes to its smallest class (a star, linear in the group). The pairs are confirmed, and links
-   form components. What is left are pairs of *different* components that share a prefix shingle; they are confirmed too. No link
-   between different components is missed, and a group of near copies never becomes all its pairs.
+4. Sets that reach the threshold share not one but many prefix shingles: all that the shorter-reaching prefix holds, but for those that the
+   other set may lack (:meth:`Threshold.least`). Each shared shingle links its classes to its smallest class (a star, linear in the
+   group); stars with enough such shingles are confirmed, and links form components. What is left are pairs of *different* components
+   with enough common prefix shingles; they are confirmed too. No link between different components is missed, and a
+   group of near copies never becomes all its pairs.
 5. To confirm, the sets on the other end of one set are stored in a trie in the global order, in blocks of bounded size. The set walks the trie;
    branches share the overlap counted so far, and a subtree whose remaining length cannot reach the threshold is cut.
 
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.components import components
 from riskloom.llm.files import stored
@@ -55,10 +57,19 @@ class Threshold:
         """Fewest shared shingles of sets with a and b shingles."""
         return -(-self.hundredths * (a + b) // (100 + self.hundredths))
 
-    def near(self, a: str, b: str):
+    def near(self, a: str, b: str) -> Column:
         """Sizes that can reach the similarity at all."""
-        small, large = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
-        return small * 100 >= large * self.hundredths
+        return F.least(a, b) * 100 >= F.greatest(a, b) * self.hundredths
+
+    def least(self, a: str, b: str) -> Column:
+        """Fewest shingles that the prefixes of sets of sizes a and b share if the sets reach the threshold.
+
+        Up to the end of the prefix that ends first in the global order, the other prefix holds all that its set holds. The set of size n whose prefix ends first
+        lacks at most n - need of its shingles in the other.
+        """
+        need = F.ceil((F.col(a) + F.col(b)) * self.hundredths / (100 + self.hundredths) - F.lit(1e-9))
+        spare = lambda n: need + 1 - F.ceil(F.col(n) * self.hundredths / 100 - F.lit(1e-9))
+        return F.greatest(F.lit(1), F.least(spare(a), spare(b)))
 
 
 def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -130,7 +141,7 @@ def _frequent(summary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(rows: DataFrame, order, size: int, limit: Threshold, segments: int) -> DataFrame:
-    """Prefix shingles packed by segment: uint64 shingles and uint64 set keys; segment -1 holds the frequent ones."""
+    """Prefix shingles packed by segment: uint64 shingles and uint64 set keys; segments below 0 hold the frequent ones, dealt by set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrange = Order(*order.value)
@@ -161,7 +172,7 @@ def _postings(rows: DataFrame, order, size: int, limit: Threshold, segments: int
                 heavy, who = np.concatenate(often), np.repeat(key, [len(x) for x in often])
                 if len(heavy):
                     pair = np.unique(np.stack([heavy, who], axis=1), axis=0)
-                    out.append((-1, pair[:, 0], pair[:, 1]))
+                    out.append((-1 - int(pair[0, 1] % np.uint64(segments)), pair[:, 0], pair[:, 1]))
                 yield pa.RecordBatch.from_pydict({
                     "segment": pa.array([x[0] for x in out], pa.int32()),
                     "tokens": pa.array([x[1].tobytes() for x in out], pa.binary()), "keys": pa.array([x[2].tobytes() for x in out], pa.binary()),
@@ -180,8 +191,10 @@ def _rows(tokens: np.ndarray, keys: np.ndarray) -> pa.Table:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of one segment: the postings whose shingle two classes or more have in their prefix."""
+    """Of one segment: the postings whose shingle two classes or more have in their prefix, or may have if it is frequent."""
     tokens, keys = _arrays(table)
+    if table.column("segment")[0].as_py() < 0:
+        return _rows(tokens, keys)
     turn = np.lexsort((keys, tokens))
     tokens, keys = tokens[turn], keys[turn]
     new = np.ones(len(tokens), dtype=bool)
@@ -192,12 +205,6 @@ def _shared(table: pa.Table) -> pa.Table:
     return _rows(np.ascontiguousarray(tokens[keep]), np.ascontiguousarray(keys[keep]))
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        tokens, keys = _arrays(batch)
-        yield from _rows(tokens, keys).to_batches(max_chunksize=100_000)
-
-
 def walk(center: np.ndarray, others: list[np.ndarray], limit: Threshold) -> Iterator[tuple[int, int]]:
     """(index, overlap) of the sets that reach the threshold with ``center``; all sets are in the global order.
 
@@ -231,15 +238,15 @@ def walk(center: np.ndarray, others: list[np.ndarray], limit: Threshold) -> Iter
         nodes += [(b, end, matched) for b in branches.values()]
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
-    """Of the pairs (a, b) those that reach the threshold; ``sets`` has key, n and tokens in global order."""
-    size = sets.select("key", "n")
-    weighed = pairs.join(size.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
-    blocks = weighed.groupBy("a").agg(F.ceil(F.sum("nb") / BLOCK_SHINGLES).cast("long").alias("blocks"))
+def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame, order, size: int, limit: Threshold) -> DataFrame:
+    """Of the pairs (a, b) those that reach the threshold, by tries over the sets of b that one a meets."""
+    ends = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
+    sets = _sets_of(rows, stored(classes.join(ends, "key", "left_semi").select("key", "doc"), "wanted"), order, size)
+    blocks = pairs.groupBy("a").agg(F.ceil(F.sum("nb") / BLOCK_SHINGLES).cast("long").alias("blocks"))
     dealt = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.greatest("blocks", F.lit(1))))
     ends = dealt.select("a", "block", F.col("b").alias("key"), F.lit(False).alias("center")).unionAll(
         dealt.select("a", "block", F.col("a").alias("key"), F.lit(True).alias("center")).distinct())
-    rows = ends.join(sets.select("key", "tokens"), "key")
+    rows = ends.join(sets, "key")
 
     def run(table: pa.Table) -> pa.Table:
         keys, middle = table.column("key").to_pylist(), table.column("center").to_pylist()
@@ -273,29 +280,26 @@ def jaccard_components(
     order = spark.sparkContext.broadcast(_frequent(summary))
 
     segments = max(16, -(-total * (100 - hundredths) // 100 // SEGMENT_POSTINGS))
-    packed = stored(_postings(rows, order, size, limit, segments), "postings")
-    light = packed.where("segment >= 0").groupBy("segment").applyInArrow(_shared, "token long, key long")
-    heavy = packed.where("segment < 0").select("tokens", "keys").mapInArrow(_unpacked, "token long, key long").distinct()
-    shared = stored(light.unionAll(heavy), "shared")
-
-    least = shared.groupBy("token").agg(F.min("key").alias("a"))
+    packed = _postings(rows, order, size, limit, segments)
+    shared = packed.groupBy("segment").applyInArrow(_shared, "token long, key long")
     sizes = classes.select("key", "n")
-    stars = shared.join(least, "token").where("key <> a").select("a", F.col("key").alias("b")).distinct()
-    stars = stored(_near(stars, sizes, limit), "stars")
+    shared = stored(shared.distinct().join(sizes, "key"), "shared")
 
-    suspects = classes.join(shared.select("key").distinct(), "key", "left_semi").select("key", "doc", "n")
-    sets = _sets_of(rows, suspects, order, size)
-    links = stored(_confirmed(stars, sets, limit), "links")
+    least = shared.groupBy("token").agg(F.min(F.struct("key", "n")).alias("x")).select("token", F.col("x.key").alias("a"), F.col("x.n").alias("na"))
+    stars = shared.join(least, "token").select("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).where("a <> b")
+    stars = stored(_enough(stars, limit), "stars")
+    links = stored(_confirmed(stars, rows, classes, order, size, limit), "links")
     label = components(links, "a", "b")
 
-    marked = shared.join(label.withColumnRenamed("node", "key"), "key", "left").select("token", "key", F.coalesce("component", "key").alias("part"))
+    marked = shared.join(label.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", F.coalesce("component", "key").alias("part"))
     open_tokens = marked.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
-    left = stored(marked.join(open_tokens, "token").join(sizes, "key"), "open")
-    right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "part", "n")])
+    left = stored(marked.join(open_tokens, "token"), "open")
+    right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "part")])
     rest = left.join(right, "token").where((F.col("key") < F.col("key_")) & (F.col("part") != F.col("part_")) & limit.near("n", "n_"))
-    rest = rest.select(F.col("key").alias("a"), F.col("key_").alias("b")).distinct()
-    rest = stored(rest.join(stars.select("a", "b").unionAll(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti"), "rest")
-    links = links.unionAll(_confirmed(rest, sets, limit))
+    rest = _enough(rest.select(F.col("key").alias("a"), F.col("key_").alias("b"), F.col("n").alias("na"), F.col("n_").alias("nb")), limit)
+    known = stars.select("a", "b")
+    rest = stored(rest.join(known, ["a", "b"], "left_anti"), "rest")
+    links = links.unionAll(_confirmed(rest, rows, classes, order, size, limit))
     label = components(links, "a", "b")
 
     joined = classes.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -307,19 +311,18 @@ def jaccard_components(
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def _near(pairs: DataFrame, sizes: DataFrame, limit: Threshold) -> DataFrame:
-    known = pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
-    known = known.join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
-    return known.where(limit.near("na", "nb")).select("a", "b")
+def _enough(pairs: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs, one row per common prefix shingle, that have enough of them; na and nb are the sizes."""
+    counted = pairs.where(limit.near("na", "nb")).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+    return counted.where(F.col("common") >= limit.least("na", "nb")).select("a", "b", "na", "nb")
 
 
-def _sets_of(rows: DataFrame, suspects: DataFrame, order, size: int) -> DataFrame:
-    """Ordered sets of the classes, from the text of one document each; a set of another class under the same id is left out."""
-    suspects = stored(suspects, "suspects")
-    ids = suspects.select(F.col("doc").alias("i")).distinct()
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    # ids that are null belong to classes of null ids alone: their rows are found by the null itself
-    mine = rows.join(wanted, rows["i"].eqNullSafe(wanted["i"]), "left_semi")
+def _sets_of(rows: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
+    """Ordered sets of the wanted classes (key, doc), from the text of one document each."""
+    ids = wanted.select(F.col("doc").alias("i")).distinct()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    # a null id belongs to a class of null ids alone: its rows are found by the null itself
+    mine = rows.join(ids, rows["i"].eqNullSafe(ids["i"]), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrange = Order(*order.value)
@@ -327,12 +330,9 @@ def _sets_of(rows: DataFrame, suspects: DataFrame, order, size: int) -> DataFram
             for part in slices(batch, "t"):
                 sets = _sets(byte_texts(part.column("t")), size)
                 key = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "key": pa.array(key), "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "tokens": pa.array([arrange.of(s)[0].tobytes() for s in sets], pa.large_binary()).cast(pa.binary()),
-                })
+                yield pa.RecordBatch.from_pydict({"key": pa.array(key), "tokens": pa.array([arrange.of(s)[0].tobytes() for s in sets], pa.binary())})
 
-    sets = mine.mapInArrow(run, "key long, n long, tokens binary").join(suspects.select("key"), "key", "left_semi")
+    sets = mine.mapInArrow(run, "key long, tokens binary").join(wanted.select("key"), "key", "left_semi")
     return stored(sets.dropDuplicates(["key"]), "sets")
 
 
