@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.files import stored
+from riskloom.llm.files import packed, stored
 from riskloom.llm.words import LOWER, Words, byte_texts, slices
 
 WORDS = 5
@@ -27,6 +27,8 @@ THRESHOLD = 0.75
 #: Shingles of items in one broadcast block (24 bytes each) and text bytes of its items.
 BLOCK_SHINGLES = 1_000_000
 BLOCK_BYTES = 32 << 20
+#: Keys of contaminated rows that may be broadcast (8 bytes each); beyond, the join shuffles.
+BROADCAST_KEYS = 1_000_000
 
 _SPLIT = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in LOWER)
 
@@ -173,7 +175,9 @@ def without_contaminated(docs: DataFrame, items: DataFrame, folder_name: str = "
     the documents; they are written once.
     """
     doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
-    keyed = docs.withColumn("_row_key", F.xxhash64(docs[f"`{doc_id}`"], docs[f"`{text}`"]))
-    found = contained_items(keyed, items, **(options | {"doc_id": "_row_key"}))
-    bad = stored(found.select(F.col("doc_id").alias("_row_key")).distinct(), folder_name)
-    return keyed.join(bad, "_row_key", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    names, row = packed(docs)
+    keyed = docs.select(row.alias("row"), F.xxhash64(docs[f"`{doc_id}`"], docs[f"`{text}`"]).alias("row_key"), docs[f"`{text}`"].alias("text"))
+    found = contained_items(keyed, items, **(options | {"doc_id": "row_key", "text": "text"}))
+    bad = stored(found.select(F.col("doc_id").alias("row_key")).distinct(), folder_name)
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_KEYS else bad
+    return keyed.join(bad, "row_key", "left_anti").select(*[F.col("row").getField(c).alias(c) for c in names])

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.session import scratch_path
 
@@ -64,6 +64,15 @@ class Reader:
         self._open = {}
 
 
+def packed(docs: DataFrame, *added: str) -> tuple[list[str], Column]:
+    """The columns of a table that an operator passes on, and one struct of them; columns that it adds itself are replaced.
+
+    Inside one struct their names can clash with none of the operator's own.
+    """
+    names = [c for c in docs.columns if c not in added]
+    return names, F.struct(*[docs[f"`{c}`"] for c in names])
+
+
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder (or ``folder``) and read again."""
     spark: SparkSession = df.sparkSession

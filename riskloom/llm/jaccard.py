@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.functions.lookup import lookup
 from riskloom.llm.components import components
 from riskloom.llm.files import stored
 from riskloom.llm.words import Words, byte_texts, mix, slices
@@ -78,13 +79,13 @@ def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
 
 
 def _summaries(rows: DataFrame, size: int) -> DataFrame:
-    """kind 0: (document id, set key, set size); kind 1: (shingle, times seen, 0) for shingles that repeat nearby."""
+    """kind 0: (document id, set key, set size, text hash); kind 1: (shingle, times seen, 0, 0) for shingles that repeat nearby."""
 
     def frequent(waiting: list[np.ndarray]) -> pa.RecordBatch | None:
         value, times = np.unique(np.concatenate(waiting), return_counts=True)
         value, times = value[times >= COUNT_LEAST], times[times >= COUNT_LEAST]
         n = len(value)
-        return _batch(1, pa.array(value.view(np.int64)), times.astype(np.int64), np.zeros(n, np.int64)) if n else None
+        return _batch(1, pa.array(value.view(np.int64)), times.astype(np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)) if n else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
@@ -93,7 +94,7 @@ def _summaries(rows: DataFrame, size: int) -> DataFrame:
             for part in slices(batch, "t"):
                 sets = _sets(byte_texts(part.column("t")), size)
                 key = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
-                yield _batch(0, part.column("i"), key.view(np.int64), np.array([len(s) for s in sets], dtype=np.int64))
+                yield _batch(0, part.column("i"), key.view(np.int64), np.array([len(s) for s in sets], dtype=np.int64), part.column("h"))
                 waiting += sets
                 total += sum(map(len, sets))
                 if total >= COUNT_ROWS:
@@ -105,12 +106,12 @@ def _summaries(rows: DataFrame, size: int) -> DataFrame:
         if found:
             yield found
 
-    return rows.mapInArrow(run, "kind int, a long, b long, c long")
+    return rows.mapInArrow(run, "kind int, a long, b long, c long, d long")
 
 
-def _batch(kind: int, a, b, c) -> pa.RecordBatch:
+def _batch(kind: int, a, b, c, d) -> pa.RecordBatch:
     n = len(b)
-    return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(n, kind, np.int32)), "a": a, "b": pa.array(b), "c": pa.array(c)})
+    return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(n, kind, np.int32)), "a": a, "b": pa.array(b), "c": pa.array(c), "d": d if isinstance(d, pa.Array) else pa.array(d)})
 
 
 class Order:
@@ -271,10 +272,16 @@ def jaccard_components(
     itself included. Repeated rows come out repeated; a null id links like any other, but is never the smallest (a
     component of null ids alone has null). Other columns do not matter; an empty table gives an empty result.
     """
+    return _grouped(docs, size, hundredths, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, size: int, hundredths: int, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text_hash, n_shingles, group (the component's smallest set key) and component_id."""
     spark, limit = docs.sparkSession, Threshold(hundredths)
-    rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), docs[f"`{text}`"].cast("string").alias("t"))
+    value = docs[f"`{text}`"].cast("string")
+    rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), _text_hash(value).alias("h"))
     summary = stored(_summaries(rows, size), "summary")
-    meta = summary.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("key"), F.col("c").alias("n"))
+    meta = summary.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("key"), F.col("c").alias("n"), F.col("d").alias("text_hash"))
     total = meta.agg(F.sum(F.col("n")).alias("n")).first()["n"] or 0
     classes = meta.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n"), F.count("*").alias("copies"))
     order = spark.sparkContext.broadcast(_frequent(summary))
@@ -304,11 +311,18 @@ def jaccard_components(
 
     joined = classes.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = joined.groupBy("component").agg(F.min("doc").alias("component_id"))
-    moved = (F.col("copies") > 1) | ~F.col("component_id").eqNullSafe(F.col("doc"))
-    grouped = stored(joined.join(least, "component").where(moved).select("key", "component_id"), "groups")
-    out = meta.join(grouped, "key", "left")
-    own = F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    moved = (F.col("copies") > 1) | (F.col("component") != F.col("key")) | ~F.col("component_id").eqNullSafe(F.col("doc"))
+    grouped = stored(joined.join(least, "component").where(moved).select("key", "component", "component_id", "copies"), "groups")
+    # A set that a third of all documents have is broadcast or salted, never one task.
+    out = lookup(meta, grouped, "key", ["component", "component_id"], weight="copies")
+    known = F.col("component").isNotNull() & (F.col("n") > 0)
+    return out.select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("group"),
+        F.when(known, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _text_hash(value: Column) -> Column:
+    return F.xxhash64(F.coalesce(value, F.lit("")))
 
 
 def _enough(pairs: DataFrame, limit: Threshold) -> DataFrame:
@@ -336,16 +350,31 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
     return stored(sets.dropDuplicates(["key"]), "sets")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` without those whose component has a smaller id; rows with equal ids leave one.
+def one_of_each(docs: DataFrame, size: int = WORDS, hundredths: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` of which each group of linked documents keeps one: the smallest id, then the smallest text hash.
 
-    Rows with a null id stay: a group cannot name them. All columns are kept.
+    A null id is kept only by a group without ids. Of rows that agree in id and text one stays. Documents without words are no group and stay.
+    All columns are kept; an empty table gives an empty result.
     """
-    doc_id = options.get("doc_id", "doc_id")
-    found = stored(jaccard_components(docs, **options).where("doc_id is not null"), "components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")).distinct()
-    wanted = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    out = docs.join(wanted, docs[f"`{doc_id}`"] == wanted["_gone_id"], "left_anti")
-    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+    found = stored(_grouped(docs, size, hundredths, doc_id, text).where("n_shingles > 0"), "components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash"))
+    kept = found.groupBy("group").agg(first.alias("w"), F.count("*").alias("n")).where("n > 1")
+    kept = stored(kept.select("group", F.col("w.doc_id").alias("best"), F.col("w.text_hash").alias("best_hash"), "n"), "kept")
+    judged = lookup(found.select("group", "doc_id", "text_hash"), kept, "group", ["best", "best_hash"], weight="n").where("best_hash is not null")
+    stays = F.col("doc_id").eqNullSafe(F.col("best")) & (F.col("text_hash") == F.col("best_hash"))
+    judged = stored(judged.withColumn("stays", stays).groupBy("doc_id", "text_hash", "stays").agg(F.count("*").alias("rows")), "judged")
+    mine = _text_hash(docs[f"`{text}`"].cast("string"))
+
+    def same(table: DataFrame) -> Column:
+        return docs[f"`{doc_id}`"].cast("long").eqNullSafe(table["_doc"]) & (mine == table["_hash"])
+
+    def small(table: DataFrame) -> DataFrame:
+        table = table.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
+        return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+    gone, again = small(judged.where("not stays")), judged.where("stays and rows > 1")
+    out = docs.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
         return out
-    return out.where(F.col(f"`{doc_id}`").isNull()).unionAll(out.where(F.col(f"`{doc_id}`").isNotNull()).dropDuplicates([doc_id]))
+    again = small(again)
+    return out.join(again, same(again), "left_anti").unionAll(out.join(again, same(again), "left_semi").dropDuplicates([doc_id, text]))

@@ -20,7 +20,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.files import stored
+from riskloom.functions.lookup import lookup
+from riskloom.llm.files import packed, stored
 from riskloom.llm.words import LOWER, STRIP, byte_texts, slices
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -147,7 +148,9 @@ def repeated_lines(
     found = stored(rows.mapInArrow(suspects, "doc long, text_hash long, line int, key binary"), "suspects")
     each = found.groupBy("key", "doc").agg(F.lit(1).alias("one"))
     often = each.groupBy("key").agg(F.count("*").alias("documents"), F.max("doc").alias("keeper")).where(F.col("documents") >= min_docs)
-    lost = found.join(often, "key").where(~F.col("doc").eqNullSafe(F.col("keeper")))
+    # A key that a third of all documents hold is broadcast or salted, never one task.
+    kept = lookup(found, stored(often, "often"), "key", ["documents", "keeper"], weight="documents")
+    lost = kept.where(F.col("documents").isNotNull() & ~F.col("doc").eqNullSafe(F.col("keeper")))
     return lost.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
@@ -160,16 +163,17 @@ def drop_repeated_lines(
     different texts under one id are told apart by their hash. Null ids count as one document, which never keeps a
     line that an id holds. All columns stay; an empty table gives an empty result.
     """
-    keyed = docs.select("*", F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).alias("_text"))
-    ids = keyed.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col("_text").alias("text"))
-    lost = repeated_lines(ids, min_chars, min_docs, bits=bits)
+    names, row = packed(docs, "_kept", "_n_lines", "_n_dropped")
+    value = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
+    keyed = docs.select(row.alias("_row"), docs[f"`{doc_id}`"].cast("long").alias("doc_id"), value.alias("_text"))
+    lost = repeated_lines(keyed.select("doc_id", F.col("_text").alias("text")), min_chars, min_docs, bits=bits)
     lost = lost.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("lines").alias("_lines"))
-    same = keyed[f"`{doc_id}`"].cast("long").eqNullSafe(lost["_doc"]) & (F.xxhash64(keyed["_text"]) == lost["_hash"])
+    same = keyed["doc_id"].eqNullSafe(lost["_doc"]) & (F.xxhash64(keyed["_text"]) == lost["_hash"])
     joined = keyed.join(lost, same, "left")
     parts = F.split("_text", "\n", -1)
     keep = F.when(F.col("_lines").isNull(), F.col("_text")).otherwise(
         F.array_join(F.filter(parts, lambda _, k: ~F.array_contains("_lines", k)), "\n"))
     return joined.select(
-        *[joined[f"`{c}`"] for c in docs.columns], keep.alias("_kept"), F.size(parts).cast("long").alias("_n_lines"),
+        *[F.col("_row").getField(c).alias(c) for c in names], keep.alias("_kept"), F.size(parts).cast("long").alias("_n_lines"),
         F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("_n_dropped"),
     )

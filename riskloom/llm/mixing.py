@@ -14,7 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.files import stored
+from riskloom.llm.files import packed, stored
 
 AXES = ("source", "lang", "topic")
 #: A target share is the observed token share to this power, made to sum to one; 1 keeps the share, 0 makes all equal.
@@ -90,8 +90,9 @@ def mix_sources(
     """
     value = docs[f"`{text}`"].cast("string")
     key = F.coalesce(docs[f"`{doc_id}`"].cast("string"), F.md5(F.coalesce(value, F.lit(""))))
+    names, row = packed(docs, "_topic", "_tokens", "_weight", "_chance", "_sampled")
     rows = docs.select(
-        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), topic(value).alias("topic"), n_tokens(value).alias("tokens"),
+        row.alias("_row"), topic(value).alias("topic"), n_tokens(value).alias("tokens"),
         *[F.coalesce(docs[f"`{c}`"].cast("string"), F.lit("")).alias(a) for c, a in ((source, "source"), (lang, "lang"))], unit(seed, key).alias("_unit"),
     )
     cells = rows.where("tokens > 0").groupBy(*AXES).agg(F.sum("tokens").alias("tokens"))
@@ -102,6 +103,6 @@ def mix_sources(
     few = F.broadcast(table) if table.count() <= 100_000 else table
     out = rows.join(few, list(AXES), "left").withColumn("_chance", F.when(F.col("tokens") > 0, F.col("_chance")).otherwise(F.lit(0.0)))
     return out.select(
-        *[F.col("_row").getField(c).alias(c) for c in docs.columns], F.col("topic").alias("_topic"), F.col("tokens").alias("_tokens"),
+        *[F.col("_row").getField(c).alias(c) for c in names], F.col("topic").alias("_topic"), F.col("tokens").alias("_tokens"),
         F.when(F.col("tokens") > 0, F.col("_weight")).otherwise(F.lit(0.0)).alias("_weight"), "_chance", (F.col("_unit") < F.col("_chance")).alias("_sampled"),
     )

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from riskloom.llm.files import packed
 from riskloom.llm.words import STRIP, Words, byte_texts, mix, rolling, slices
 
 #: Most of a text's word characters that may lie in repeated n-grams of so many words.
@@ -99,8 +100,8 @@ def quality_rules(
     Null and empty texts have no word and fail. Repeated rows are judged alike, one by one; an empty table gives
     an empty table; other columns pass through, whatever their names (a column called ``_rules`` is replaced).
     """
-    names = [c for c in docs.columns if c != "_rules"]
-    frame = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), docs[f"`{text}`"].cast("string").alias("t"))
+    names, row = packed(docs, "_rules")
+    frame = docs.select(row.alias("row"), docs[f"`{text}`"].cast("string").alias("t"))
     fields = [pa.field(k, pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     fields += [pa.field("base_failed", pa.bool_()), pa.field("dup_line_chars", pa.int64())]
     fields += [pa.field(f"dup_{n}gram_chars", pa.int64()) for n in gram_limits] + [pa.field("kept", pa.bool_())]

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.llm.files import stored
+from riskloom.llm.files import packed, stored
 
 #: Items per shard that the packing sorts at most, counted twice: large groups, and parcels of small ones.
 GRAIN = 1_024
@@ -187,12 +187,13 @@ def write_shards(docs: DataFrame, path: str, **options) -> DataFrame:
     doc_id = options.get("doc_id", "doc_id")
     plan = stored(assign_shards(docs, **options), "assignment")
     text = F.coalesce(docs[f"`{options.get('text', 'text')}`"].cast("string"), F.lit(""))
-    rows = docs.withColumn("_crc", F.crc32(text.cast("binary")))
+    names, row = packed(docs, "shard", "slot")
+    rows = docs.select(row.alias("_row"), docs[f"`{doc_id}`"].cast("long").alias("_doc"), F.crc32(text.cast("binary")).alias("_crc"))
     # Rows that agree in id and text take the slots of that id and text in turn.
-    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy(f"`{doc_id}`", "_crc").orderBy("_crc")))
+    rows = rows.withColumn("_turn", F.row_number().over(Window.partitionBy("_doc", "_crc").orderBy("_crc")))
     turn = F.row_number().over(Window.partitionBy("doc_id", "text_crc32").orderBy("shard", "slot"))
     placed = plan.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc_"), turn.alias("_turn_"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    same = rows[f"`{doc_id}`"].eqNullSafe(placed["_id"]) & (rows["_crc"] == placed["_crc_"]) & (rows["_turn"] == placed["_turn_"])
-    rows = rows.join(placed, same).select(*[docs[f"`{c}`"] for c in docs.columns], F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    same = rows["_doc"].eqNullSafe(placed["_id"]) & (rows["_crc"] == placed["_crc_"]) & (rows["_turn"] == placed["_turn_"])
+    rows = rows.join(placed, same).select(*[F.col("_row").getField(c).alias(c) for c in names], F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
     rows.repartition("shard", F.floor(F.col("slot") / BUCKET_ROWS)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
     return plan

@@ -21,14 +21,13 @@ smallest document go on, so a string that a third of all documents share is at m
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.files import stored
+from riskloom.llm.files import packed as packed_row, stored
 from riskloom.llm.words import _BYTE, _POWERS, byte_texts, mix, slices
 
 LENGTH = 50
@@ -327,8 +326,8 @@ def drop_repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str
     every = runs.where("settled").unionAll(pairs)
     grouped = stored(every.groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("runs")), "repeats")
 
-    whole = docs.select(
-        docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), F.xxhash64(value).alias("h"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    names, row = packed_row(docs, "_kept", "_n_bytes", "_n_removed", "_n_spans")
+    whole = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), F.xxhash64(value).alias("h"), row.alias("row"))
     keys = grouped.select("doc", "hash")
     run = _apply(length)
     schema = f"row {whole.schema['row'].dataType.simpleString()}, _kept binary, _n_bytes bigint, _n_removed bigint, _n_spans bigint"
@@ -345,4 +344,4 @@ def drop_repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str
         out = hit.mapInArrow(run, schema).unionAll(rest.mapInArrow(run, schema))
     else:
         out = whole.join(grouped, same(whole, grouped), "left").select("row", "t", "runs").mapInArrow(run, schema)
-    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "_kept", "_n_bytes", "_n_removed", "_n_spans")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in names], "_kept", "_n_bytes", "_n_removed", "_n_spans")
