@@ -7,10 +7,10 @@
 3. Two sets with Jaccard >= t share a shingle among the first ``n - ceil(t n) + 1`` of each. Prefix shingles meet by hash
    segment, packed as arrays; only those that two classes share go on as rows. Frequent ones are dealt evenly and all go on, so no group
    of them is gathered in a task.
-4. Sets that reach the threshold share not one but many prefix shingles: all that the shorter-reaching prefix holds, but for those that the
-   other set may lack (:meth:`Threshold.least`). Each shared shingle links its classes to its smallest class (a star, linear in the
-   group); stars with enough such shingles are confirmed, and links form components. What is left are pairs of *different* components
-   with enough common prefix shingles; they are confirmed too. No link between different components is missed, and a
+4. Two sets are candidates if what both have left where they meet a common shingle can still reach the needed overlap
+   (:meth:`Threshold.reach`; linked sets do so at their first). Some classes of each shared shingle are its centers; every class is compared with the
+   centers that share most with it (stars, linear in the group), and links form components. After two such rounds
+   what is left are candidates in *different* components; they are confirmed too. No link between different components is missed, and a
    group of near copies never becomes all its pairs.
 5. To confirm, the sets on the other end of one set are stored in a trie in the global order, in blocks of bounded size. The set walks the trie;
    branches share the overlap counted so far, and a subtree whose remaining length cannot reach the threshold is cut.
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.lookup import lookup
 from riskloom.llm.components import components
@@ -41,6 +41,10 @@ FREQUENT = 500_000
 SEGMENT_POSTINGS = 400_000
 #: Shingles of the sets in one trie.
 BLOCK_SHINGLES = 100_000
+#: Rounds of stars, centers per shingle in a round, and centers that one class is compared with in a round.
+STAR_ROUNDS, CENTERS, TRIED = 2, 4, 2
+#: Classes from which on a prefix shingle's classes meet in blocks, and classes of one block.
+HOT, BLOCK_CLASSES = 48, 512
 #: Document ids that may be broadcast (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -62,15 +66,19 @@ class Threshold:
         """Sizes that can reach the similarity at all."""
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.hundredths
 
-    def least(self, a: str, b: str) -> Column:
+    def reach(self, na: str, a: str, nb: str, b: str) -> Column:
+        """Whether sets of sizes na and nb whose first common shingle stands at places a and b can reach the similarity."""
+        left = F.least(F.col(na) - F.col(a), F.col(nb) - F.col(b))
+        return left * (100 + self.hundredths) >= (F.col(na) + F.col(nb)) * self.hundredths
+
+    def least(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Fewest shingles that the prefixes of sets of sizes a and b share if the sets reach the threshold.
 
-        Up to the end of the prefix that ends first in the global order, the other prefix holds all that its set holds. The set of size n whose prefix ends first
-        lacks at most n - need of its shingles in the other.
+        Up to the end of the prefix that ends first in the global order, the other prefix holds all that its set holds; and a set of
+        size n lacks at most n - need of its shingles in the other.
         """
-        need = F.ceil((F.col(a) + F.col(b)) * self.hundredths / (100 + self.hundredths) - F.lit(1e-9))
-        spare = lambda n: need + 1 - F.ceil(F.col(n) * self.hundredths / 100 - F.lit(1e-9))
-        return F.greatest(F.lit(1), F.least(spare(a), spare(b)))
+        need = -(-self.hundredths * (a + b) // (100 + self.hundredths))
+        return np.maximum(1, need + 1 - np.maximum(-(-self.hundredths * a // 100), -(-self.hundredths * b // 100)))
 
 
 def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -142,68 +150,62 @@ def _frequent(summary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(rows: DataFrame, order, size: int, limit: Threshold, segments: int) -> DataFrame:
-    """Prefix shingles packed by segment: uint64 shingles and uint64 set keys; segments below 0 hold the frequent ones, dealt by set."""
+    """Prefix shingles packed by segment: shingle, set key and place in the set; segments below 0 hold the frequent ones, dealt by set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrange = Order(*order.value)
         for batch in batches:
             for part in slices(batch, "t"):
-                often, light, keys = [], [], []
+                tokens, places, plain, keys = [], [], [], []
                 for s in _sets(byte_texts(part.column("t")), size):
                     if not len(s):
                         continue
                     key = xxhash.xxh3_64_intdigest(s.tobytes())
-                    line, plain = arrange.of(s)
+                    line, light = arrange.of(s)
                     prefix = line[: int(limit.prefix(np.int64(len(s))))]
-                    light.append(prefix[:plain])
-                    often.append(prefix[plain:])
+                    place = np.arange(len(prefix), dtype=np.uint32)
+                    tokens.append(prefix)
+                    places.append(place)
+                    plain.append(place < light)
                     keys.append(key)
                 if not keys:
                     continue
-                key = np.array(keys, dtype=np.uint64)
-                tokens, owner = np.concatenate(light), np.repeat(key, [len(x) for x in light])
-                segment = (mix(tokens) % np.uint64(segments)).astype(np.int64)
-                turn = np.lexsort((owner, tokens, segment))
-                tokens, owner, segment = tokens[turn], owner[turn], segment[turn]
-                new = np.ones(len(tokens), dtype=bool)
-                new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
-                tokens, owner, segment = tokens[new], owner[new], segment[new]
-                cut = np.flatnonzero(np.diff(segment, prepend=-1))
-                out = [(int(segment[a]), tokens[a:b], owner[a:b]) for a, b in zip(cut, [*cut[1:], len(segment)], strict=True)]
-                heavy, who = np.concatenate(often), np.repeat(key, [len(x) for x in often])
-                if len(heavy):
-                    pair = np.unique(np.stack([heavy, who], axis=1), axis=0)
-                    out.append((-1 - int(pair[0, 1] % np.uint64(segments)), pair[:, 0], pair[:, 1]))
+                own = np.repeat(np.array(keys, dtype=np.uint64), [len(x) for x in tokens])
+                token, place = np.concatenate(tokens), np.concatenate(places)
+                dealt = (mix(token) % np.uint64(segments)).astype(np.int64)
+                segment = np.where(np.concatenate(plain), dealt, -1 - int(own[0] % np.uint64(segments)))
+                turn = np.lexsort((own, token, segment))
+                turn = turn[_new(segment[turn], token[turn], own[turn])]
+                segment = segment[turn]
+                cut = np.flatnonzero(_new(segment))
+                out = [(int(segment[a]), turn[a:b]) for a, b in zip(cut, [*cut[1:], len(segment)], strict=True)]
                 yield pa.RecordBatch.from_pydict({
-                    "segment": pa.array([x[0] for x in out], pa.int32()),
-                    "tokens": pa.array([x[1].tobytes() for x in out], pa.binary()), "keys": pa.array([x[2].tobytes() for x in out], pa.binary()),
+                    "segment": pa.array([x[0] for x in out], pa.int32()), "tokens": pa.array([token[x].tobytes() for _, x in out], pa.binary()),
+                    "keys": pa.array([own[x].tobytes() for _, x in out], pa.binary()), "places": pa.array([place[x].tobytes() for _, x in out], pa.binary()),
                 })
 
-    return rows.mapInArrow(run, "segment int, tokens binary, keys binary")
-
-
-def _arrays(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    join = lambda c: np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=np.uint64)
-    return join("tokens"), join("keys")
+    return rows.mapInArrow(run, "segment int, tokens binary, keys binary, places binary")
 
 
-def _rows(tokens: np.ndarray, keys: np.ndarray) -> pa.Table:
-    return pa.table({"token": pa.array(tokens.view(np.int64)), "key": pa.array(keys.view(np.int64))})
+def _new(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the row before."""
+    out = np.ones(len(sorted_columns[0]), dtype=bool)
+    if len(out) > 1:
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in sorted_columns])
+    return out
 
 
 def _shared(table: pa.Table) -> pa.Table:
     """Of one segment: the postings whose shingle two classes or more have in their prefix, or may have if it is frequent."""
-    tokens, keys = _arrays(table)
-    if table.column("segment")[0].as_py() < 0:
-        return _rows(tokens, keys)
-    turn = np.lexsort((keys, tokens))
-    tokens, keys = tokens[turn], keys[turn]
-    new = np.ones(len(tokens), dtype=bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-    tokens, keys = tokens[new], keys[new]
-    same = tokens[1:] == tokens[:-1]
-    keep = np.append(same, False) | np.insert(same, 0, False) if len(tokens) else np.zeros(0, bool)
-    return _rows(np.ascontiguousarray(tokens[keep]), np.ascontiguousarray(keys[keep]))
+    kinds = {"tokens": np.int64, "keys": np.int64, "places": np.int32}
+    token, key, place = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=k) for c, k in kinds.items())
+    if table.column("segment")[0].as_py() >= 0:
+        turn = np.lexsort((key, token))
+        turn = turn[_new(token[turn], key[turn])]
+        first = _new(token[turn])
+        turn = turn[~(first & np.append(first[1:], True))]
+        token, key, place = token[turn], key[turn], place[turn]
+    return pa.table({"token": token, "key": key, "place": place})
 
 
 def walk(center: np.ndarray, others: list[np.ndarray], limit: Threshold) -> Iterator[tuple[int, int]]:
@@ -288,26 +290,26 @@ def _grouped(docs: DataFrame, size: int, hundredths: int, doc_id: str, text: str
 
     segments = max(16, -(-total * (100 - hundredths) // 100 // SEGMENT_POSTINGS))
     packed = _postings(rows, order, size, limit, segments)
-    shared = packed.groupBy("segment").applyInArrow(_shared, "token long, key long")
+    shared = packed.groupBy("segment").applyInArrow(_shared, "token long, key long, place int")
     sizes = classes.select("key", "n")
     shared = stored(shared.distinct().join(sizes, "key"), "shared")
 
-    least = shared.groupBy("token").agg(F.min(F.struct("key", "n")).alias("x")).select("token", F.col("x.key").alias("a"), F.col("x.n").alias("na"))
-    stars = shared.join(least, "token").select("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).where("a <> b")
-    stars = stored(_enough(stars, limit), "stars")
-    links = stored(_confirmed(stars, rows, classes, order, size, limit), "links")
-    label = components(links, "a", "b")
-
-    marked = shared.join(label.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", F.coalesce("component", "key").alias("part"))
-    open_tokens = marked.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
-    left = stored(marked.join(open_tokens, "token"), "open")
-    right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "part")])
-    rest = left.join(right, "token").where((F.col("key") < F.col("key_")) & (F.col("part") != F.col("part_")) & limit.near("n", "n_"))
-    rest = _enough(rest.select(F.col("key").alias("a"), F.col("key_").alias("b"), F.col("n").alias("na"), F.col("n_").alias("nb")), limit)
-    known = stars.select("a", "b")
-    rest = stored(rest.join(known, ["a", "b"], "left_anti"), "rest")
-    links = links.unionAll(_confirmed(rest, rows, classes, order, size, limit))
-    label = components(links, "a", "b")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return _confirmed(pairs, rows, classes, order, size, limit)
+
+    links = label = known = None
+    for turn in range(STAR_ROUNDS):
+        stars = stored(_stars(_open(shared, label), limit, turn), "stars")
+        found = stored(confirmed(stars), "links")
+        links = found if links is None else links.unionAll(found)
+        known = stars if known is None else known.unionAll(stars)
+        label = components(links, "a", "b")
+
+    left = stored(_open(shared, label), "open")
+    rest = _candidates(left, limit)
+    tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(rest.join(tried, ["a", "b"], "left_anti").select("a", "b", "na", "nb"), "rest")
+    label = components(links.unionAll(confirmed(rest)), "a", "b")
 
     joined = classes.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = joined.groupBy("component").agg(F.min("doc").alias("component_id"))
@@ -325,10 +327,85 @@ def _text_hash(value: Column) -> Column:
     return F.xxhash64(F.coalesce(value, F.lit("")))
 
 
-def _enough(pairs: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs, one row per common prefix shingle, that have enough of them; na and nb are the sizes."""
-    counted = pairs.where(limit.near("na", "nb")).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-    return counted.where(F.col("common") >= limit.least("na", "nb")).select("a", "b", "na", "nb")
+def _open(shared: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Prefix postings (token, key, n, place, part) of the shingles that two components or more have; part is the component."""
+    if label is None:
+        marked = shared.withColumn("part", F.col("key"))
+    else:
+        marked = shared.join(label.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "place", F.coalesce("component", "key").alias("part"))
+    several = marked.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
+    return marked.join(several, "token")
+
+
+def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
+    """(a, b, na, nb) of classes in different components that may be linked, from their open prefix postings.
+
+    Shingles of fewer than ``HOT`` classes are joined with themselves. The classes of the others meet in blocks, each with its open
+    prefix, and a block only gives out the pairs that meet there first and share enough.
+    """
+    counted = postings.groupBy("token").agg(F.count("*").alias("df"))
+    few, hot = counted.where(F.col("df") < HOT).select("token"), counted.where(F.col("df") >= HOT)
+    left = postings.join(few, "token")
+    right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "part", "place")])
+    other = (F.col("key") < F.col("key_")) & (F.col("part") != F.col("part_"))
+    pairs = left.join(right, "token").where(other & limit.near("n", "n_") & limit.reach("n", "place", "n_", "place_"))
+    pairs = pairs.select(F.col("key").alias("a"), F.col("key_").alias("b"), F.col("n").alias("na"), F.col("n_").alias("nb"))
+
+    hot = stored(postings.join(hot, "token"), "hot")
+    line = F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda x: x["token"])
+    lines = postings.join(hot.select("key").distinct(), "key", "left_semi").groupBy("key").agg(line.alias("line"))
+    blocks = F.ceil(F.col("df") / BLOCK_CLASSES).cast("long")
+    own = F.pmod(F.xxhash64("key"), blocks)
+    met = hot.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    met = met.join(lines, "key").select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "n", "part", "place", "line")
+
+    def run(table: pa.Table) -> pa.Table:
+        return _meet(table, limit)
+
+    return pairs.unionAll(met.groupBy("token", "i", "j").applyInArrow(run, "a long, b long, na long, nb long")).distinct()
+
+
+def _meet(table: pa.Table, limit: Threshold) -> pa.Table:
+    """Of the classes of one shingle, in one pair of blocks, the pairs that meet there first and can be linked."""
+    column = lambda c: table.column(c).to_numpy()
+    key, n, part, place, own = (column(c).astype(np.int64) for c in ("key", "n", "part", "place", "own"))
+    here, i, j = table.column("token")[0].as_py(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    lines = [np.array(x, dtype=np.int64) for x in table.column("line").to_pylist()]
+    names, code = np.unique(np.concatenate(lines), return_inverse=True)
+    row = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    before = np.concatenate([np.arange(len(x)) < np.flatnonzero(x == here)[0] for x in lines])
+    every, early = np.zeros((len(lines), len(names)), np.float32), np.zeros((len(lines), len(names)), np.float32)
+    every[row, code] = 1
+    early[row[before], code[before]] = 1
+    x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    common, sooner = every[x] @ every[y].T, early[x] @ early[y].T
+    nx, ny = n[x][:, None], n[y][None, :]
+    need = -(-limit.hundredths * (nx + ny) // (100 + limit.hundredths))
+    good = (sooner == 0) & (common >= limit.least(nx, ny)) & (part[x][:, None] != part[y][None, :])
+    good &= (np.minimum(nx - place[x][:, None], ny - place[y][None, :]) >= need) & (np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * limit.hundredths)
+    if i == j:
+        good &= key[x][:, None] < key[y][None, :]
+    p, q = np.nonzero(good)
+    a, b = x[p], y[q]
+    turn = key[a] > key[b]
+    a, b = np.where(turn, b, a), np.where(turn, a, b)
+    return pa.table({"a": key[a], "b": key[b], "na": n[a], "nb": n[b]})
+
+
+def _stars(postings: DataFrame, limit: Threshold, turn: int) -> DataFrame:
+    """For each class the few centers of other components that share most prefix shingles with it.
+
+    The centers of a shingle are those of its classes with the least hashes under ``CENTERS`` seeds, so classes with many common
+    shingles mostly meet the same centers. The pairs are linear in the classes; a link that they miss is found among what is left.
+    """
+    center = [F.col("key").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"), F.col("place").alias("xa")]
+    least = [F.min(F.struct(F.xxhash64("key", F.lit(turn * CENTERS + k)).alias("order"), F.struct(*center).alias("c"))) for k in range(CENTERS)]
+    centers = postings.groupBy("token").agg(F.array(*least).alias("c"))
+    centers = centers.select("token", F.explode(F.array_distinct(F.transform("c", lambda x: x["c"]))).alias("c")).select("token", "c.*")
+    met = postings.join(centers, "token").where((F.col("pa") != F.col("part")) & limit.near("na", "n") & limit.reach("na", "xa", "n", "place"))
+    counted = met.groupBy("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).agg(F.count("*").alias("common"))
+    best = Window.partitionBy("b").orderBy(F.desc("common"), "a")
+    return counted.withColumn("order", F.row_number().over(best)).where(F.col("order") <= TRIED).select("a", "b", "na", "nb")
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
