@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.files import packed as packed_row, stored
 from riskloom.llm.words import _BYTE, _POWERS, byte_texts, mix, slices
@@ -81,6 +81,11 @@ def anchors(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield first + begin, count, short[place[first]], ranks.of(first, first + count + (length - 1)), ranks, begin
 
 
+def text_hash(value: Column) -> Column:
+    """31 bits that tell apart texts under one id."""
+    return F.pmod(F.xxhash64(value), F.lit(1 << 31))
+
+
 def _cut(order: np.ndarray) -> list[tuple[int, int]]:
     """Runs of equal values of a sorted array."""
     if not len(order):
@@ -93,17 +98,25 @@ def _bytes(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
-def _six(x: np.ndarray) -> bytes:
-    """The low six bytes of 64-bit values."""
-    return _bytes(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+def _planes(x: np.ndarray, keep: int) -> bytes:
+    """The low ``keep`` bytes of unsigned values, all lowest bytes first: high bytes that are mostly zero then take no room in a shuffle."""
+    return _bytes(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :keep].T)
 
 
-def _from_six(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+def _from_planes(data: bytes, keep: int) -> np.ndarray:
+    out = np.zeros((len(data) // keep, 8), dtype=np.uint8)
+    out[:, :keep] = np.frombuffer(data, dtype=np.uint8).reshape(keep, -1).T
     return out.view("<u8").ravel()
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x.astype(np.int64), prepend=0).view(np.uint64)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x.view(np.int64))
+
+
 def _smallest(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts by keys, then document; and for each entry in that order whether a smaller document has its keys."""
     turn = np.lexsort((docs, *reversed(keys)))
@@ -118,15 +131,17 @@ def _smallest(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.
 _PACKED = "segment int, ids binary, hashes binary, owner binary, rank binary, context binary, start binary, count binary"
 
 
-def _first_round(rows: DataFrame, length: int, segments: int) -> DataFrame:
-    """Anchors packed by segment of their rank; segment -1 holds what its own slice of text settles as repeated."""
+def _pack(segment: int, ids, hashes, owner, rank, context, start, count) -> dict:
+    """Entries of one segment and slice, with a table of their texts."""
+    used, local = np.unique(owner, return_inverse=True)
+    return {
+        "segment": segment, "ids": _planes(_steps(ids[used]), 8), "hashes": _planes(hashes[used].astype(np.uint32), 4), "owner": _planes(_steps(local), 4),
+        "rank": _planes(rank, 4), "context": _planes(context, 6), "start": _planes(start, 4), "count": _planes(count, 1),
+    }
 
-    def pack(segment: int, ids, hashes, owner, rank, context, start, count) -> dict:
-        used, local = np.unique(owner, return_inverse=True)
-        return {
-            "segment": segment, "ids": _bytes(ids[used]), "hashes": _bytes(hashes[used]), "owner": _bytes(local.astype("<u4")),
-            "rank": _bytes(rank.astype("<u4")), "context": _six(context), "start": _bytes(start.astype("<u4")), "count": _bytes(count.astype("u1")),
-        }
+
+def _first_round(rows: DataFrame, length: int, segments: int) -> DataFrame:
+    """Anchors packed by segment of their rank; segments below 0 hold what a slice of text settles as repeated."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,15 +155,13 @@ def _first_round(rows: DataFrame, length: int, segments: int) -> DataFrame:
                     continue
                 owner, start, count, rank, context = (np.concatenate(x) for x in zip(*found, strict=True))
                 turn, repeated = _smallest([rank, context], ids[owner])
-                gone, stay = np.sort(turn[repeated]), np.sort(turn[~repeated])
-                out = []
-                if len(gone):
-                    out.append(pack(-1, ids, hashes, owner[gone], rank[gone], context[gone], start[gone], count[gone]))
-                segment = (mix(rank[stay]) >> np.uint64(33)) % np.uint64(segments)
+                segment = (mix(rank) >> np.uint64(33)).astype(np.int64) % segments
+                segment[turn[repeated]] = -1 - int(hashes[0] % segments)
                 by = np.argsort(segment, kind="stable")
+                out = []
                 for a, b in _cut(segment[by]):
-                    x = stay[by[a:b]]
-                    out.append(pack(int(segment[by[a]]), ids, hashes, owner[x], rank[x], context[x], start[x], count[x]))
+                    x = by[a:b]
+                    out.append(_pack(int(segment[by[a]]), ids, hashes, owner[x], rank[x], context[x], start[x], count[x]))
                 yield pa.RecordBatch.from_pylist(out, schema=_arrow(_PACKED))
 
     return rows.mapInArrow(run, _PACKED)
@@ -159,16 +172,16 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in ddl.split(", ")])
 
 
-def _unpack(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    ids, hashes, owner, rank, context, start, count = [], [], [], [], [], [], []
+def _unpack(table: pa.Table) -> tuple[np.ndarray, ...]:
+    ids, hashes, rank, context, start, count = [], [], [], [], [], []
     for row in table.select(["ids", "hashes", "owner", "rank", "context", "start", "count"]).to_pylist():
-        own = np.frombuffer(row["owner"], "<u4")
-        ids.append(np.frombuffer(row["ids"], np.int64)[own])
-        hashes.append(np.frombuffer(row["hashes"], np.int64)[own])
-        rank.append(np.frombuffer(row["rank"], "<u4"))
-        context.append(_from_six(row["context"]))
-        start.append(np.frombuffer(row["start"], "<u4"))
-        count.append(np.frombuffer(row["count"], "u1"))
+        own = _sums(_from_planes(row["owner"], 4))
+        ids.append(_sums(_from_planes(row["ids"], 8))[own])
+        hashes.append(_from_planes(row["hashes"], 4)[own].astype(np.int64))
+        rank.append(_from_planes(row["rank"], 4))
+        context.append(_from_planes(row["context"], 6))
+        start.append(_from_planes(row["start"], 4).astype(np.int64))
+        count.append(_from_planes(row["count"], 1).astype(np.int64))
     return tuple(np.concatenate(x) for x in (ids, hashes, rank, context, start, count))
 
 
@@ -185,6 +198,8 @@ def _runs(doc: np.ndarray, h: np.ndarray, start: np.ndarray, count: np.ndarray,
 def _rank_anchors(table: pa.Table) -> pa.Table:
     """Of one segment: runs that a smaller document repeats whole, and runs whose rank has several contexts."""
     doc, h, rank, context, start, count = _unpack(table)
+    if table.column("segment")[0].as_py() < 0:
+        return _runs(doc, h, start, count, np.ones(len(doc), bool))
     turn, repeated = _smallest([rank, context], doc)
     doc, h, rank, context, start, count = (x[turn] for x in (doc, h, rank, context, start, count))
     group = np.cumsum(np.concatenate([[0], rank[1:] != rank[:-1]]))
@@ -199,13 +214,6 @@ def _rank_anchors(table: pa.Table) -> pa.Table:
     return _runs(doc[keep], h[keep], start[keep], count[keep], repeated[keep])
 
 
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            doc, h, _, _, start, count = _unpack(batch)
-            yield from _runs(doc, h, start, count, np.ones(len(doc), bool)).to_batches(max_chunksize=100_000)
-
-
 _PAIRS = "segment int, ids binary, hashes binary, start binary, count binary, pairs binary, checks binary"
 
 
@@ -303,19 +311,16 @@ def drop_repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str
 
     A byte goes if a ``length``-byte string that covers it also starts in a document with a smaller id; strings are judged on the
     input. Texts are UTF-8; null and empty texts have no byte and stay. Rows with one id do not remove each other's bytes, whatever
-    their texts. A null id counts as larger than every id, and null ids do not remove each other's bytes. All columns stay, whatever their names;
+    their texts; up to two billion bytes a text. A null id counts as larger than every id, and null ids do not remove each other's bytes. All columns stay, whatever their names;
     an empty table gives an empty result. ``length`` is 4 to 500.
     """
     value = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
-    rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), F.xxhash64(value).alias("h"))
+    rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), text_hash(value).alias("h"))
     total = rows.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0
     density = 2 / (length - length // 2 + 2)
     segments = max(8, int(total * density) // SEGMENT_ENTRIES)
 
-    packed = stored(_first_round(rows, length, segments), "anchors")
-    ranked = packed.where("segment >= 0").groupBy("segment").applyInArrow(_rank_anchors, _RUNS)
-    sent = packed.where("segment < 0").mapInArrow(_settled, _RUNS)
-    runs = stored(ranked.unionAll(sent), "runs")
+    runs = stored(_first_round(rows, length, segments).groupBy("segment").applyInArrow(_rank_anchors, _RUNS), "runs")
 
     open_ = runs.where("not settled").groupBy("doc", "hash").agg(F.collect_list("start").alias("starts"))
     open_ = stored(open_, "open")
@@ -327,7 +332,7 @@ def drop_repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str
     grouped = stored(every.groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("runs")), "repeats")
 
     names, row = packed_row(docs, "_kept", "_n_bytes", "_n_removed", "_n_spans")
-    whole = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), F.xxhash64(value).alias("h"), row.alias("row"))
+    whole = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), text_hash(value).alias("h"), row.alias("row"))
     keys = grouped.select("doc", "hash")
     run = _apply(length)
     schema = f"row {whole.schema['row'].dataType.simpleString()}, _kept binary, _n_bytes bigint, _n_removed bigint, _n_spans bigint"
