@@ -20,6 +20,7 @@ import array
 import itertools
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,6 +40,8 @@ BLOCK_IDS = 1 << 16
 #: Chunks whose ids a worker remembers.
 CACHE = 900_000
 _HEAD = struct.Struct("<IIQQQ")
+#: ASCII marks at the end of a chunk; an apostrophe may begin a contraction and is none.
+_TAIL = re.compile(rb"[!-&(-/:-@\[-`{-~]+\Z")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -65,7 +68,7 @@ class Encoder:
 
     A text is cut at spaces and line feeds. The tokenizer's split pattern never joins text across white space
     and its normalizer lowers letters and maps each white-space run to one space that no token holds, so the ids of the text are those of
-    its chunks in order, whatever the case of A-Z; a comma or full stop behind an ASCII letter or digit is a chunk of its own. That is a
+    its chunks in order, whatever the case of A-Z. That is a
     property of the vocabulary file, which :func:`splits_at_space` checks; for another the whole text is encoded.
     """
 
@@ -84,27 +87,50 @@ class Encoder:
         return [array.array("I", x.ids).tobytes() for x in fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def _learn(self, chunks: set[bytes]) -> None:
-        known = self.known
-        tails = {c for c in chunks if len(c) > 1 and c[-1] in b",." and c[-2:-1].isalnum()}
-        new = [*({c for c in chunks - tails} | {c[:-1] for c in tails} | {c[-1:] for c in tails})]
-        new = [c for c in new if c not in known]
-        for a in range(0, len(new), 20_000):
-            known.update(zip(new[a : a + 20_000], self._ids(new[a : a + 20_000]), strict=True))
-        known.update((c, known[c[:-1]] + known[c[-1:]]) for c in tails)
+        """Ids of new chunks.
+
+        Marks behind a letter or digit are a chunk of their own, since no piece holds both. Words of a-z pass the normalizer and the
+        splitting steps as they are, so their ids come from the library's merge model alone.
+        """
+        known, tails = self.known, {}
+        for c in chunks:
+            if not c.isalpha():
+                found = _TAIL.search(c)
+                if found and found.start() and c[: found.start()].decode().lower()[-1].isalnum():
+                    tails[c] = (c[: found.start()], found[0])
+        new = {c for c in chunks if c not in tails}.union(*tails.values())
+        word, rest = self.tool.model.tokenize, []
+        for c in new:
+            if c in known:
+                continue
+            if c.isalpha() and c.islower():
+                known[c] = array.array("I", [x.id for x in word(c.decode())]).tobytes()
+            else:
+                rest.append(c)
+        for a in range(0, len(rest), 20_000):
+            known.update(zip(rest[a : a + 20_000], self._ids(rest[a : a + 20_000]), strict=True))
+        known.update((c, known[a] + known[b]) for c, (a, b) in tails.items())
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """32-bit ids of each UTF-8 text with the end id behind, in the machine's byte order."""
         if not self.by_chunk:
             return [x + self.end for x in self._ids(texts)]
-        chunks = []
-        for t in texts:
-            low = t.translate(LOWER)
-            chunks.append((t if any(m in low for m in self.marks) else low).replace(b"\n", b" ").split(b" "))
         if len(self.known) > CACHE:
             self.known = {b"": b""}
-        known = self.known
-        self._learn({c for part in chunks for c in part if c not in known})
-        return [b"".join(map(known.__getitem__, part)) + self.end for part in chunks]
+        get, work, new = self.known.get, [], set()
+        for t in texts:
+            low = t.translate(LOWER)
+            chunks = (t if any(m in low for m in self.marks) else low).replace(b"\n", b" ").split(b" ")
+            ids = list(map(get, chunks))
+            holes = [(k, chunks[k]) for k, x in enumerate(ids) if x is None]
+            new.update(c for _, c in holes)
+            work.append((ids, holes))
+        self._learn(new)
+        for ids, holes in work:
+            for k, c in holes:
+                ids[k] = self.known[c]
+            ids.append(self.end)
+        return [b"".join(ids) for ids, _ in work]
 
 
 def splits_at_space(path: str) -> bool:
