@@ -44,7 +44,7 @@ BLOCK_SHINGLES = 100_000
 #: Rounds of stars, centers per shingle in a round, and centers that one class is compared with in a round.
 STAR_ROUNDS, CENTERS, TRIED = 2, 4, 2
 #: Classes from which on a prefix shingle's classes meet in blocks, and classes of one block.
-HOT, BLOCK_CLASSES = 48, 512
+HOT, BLOCK_CLASSES = 16, 256
 #: Document ids that may be broadcast (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -80,6 +80,12 @@ class Threshold:
         need = -(-self.hundredths * (a + b) // (100 + self.hundredths))
         return np.maximum(1, need + 1 - np.maximum(-(-self.hundredths * a // 100), -(-self.hundredths * b // 100)))
 
+    def enough(self, common: str, a: str, b: str) -> Column:
+        """Whether so many common prefix shingles are not fewer than :meth:`least`."""
+        whole = lambda top, low: F.floor((top + F.lit(low - 1)) / F.lit(low))
+        need = whole((F.col(a) + F.col(b)) * self.hundredths, 100 + self.hundredths)
+        return F.col(common) >= F.greatest(F.lit(1), need + 1 - whole(F.greatest(a, b) * self.hundredths, 100))
+
 
 def _sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     hashes, at = Words(texts).shingles(size)
@@ -340,7 +346,7 @@ def _open(shared: DataFrame, label: DataFrame | None) -> DataFrame:
 def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
     """(a, b, na, nb) of classes in different components that may be linked, from their open prefix postings.
 
-    Shingles of fewer than ``HOT`` classes are joined with themselves. The classes of the others meet in blocks, each with its open
+    Shingles of fewer than ``HOT`` classes are joined with themselves and the pairs' open prefixes compared. The classes of the others meet in blocks, each with its open
     prefix, and a block only gives out the pairs that meet there first and share enough.
     """
     counted = postings.groupBy("token").agg(F.count("*").alias("df"))
@@ -349,11 +355,14 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
     right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "part", "place")])
     other = (F.col("key") < F.col("key_")) & (F.col("part") != F.col("part_"))
     pairs = left.join(right, "token").where(other & limit.near("n", "n_") & limit.reach("n", "place", "n_", "place_"))
-    pairs = pairs.select(F.col("key").alias("a"), F.col("key_").alias("b"), F.col("n").alias("na"), F.col("n_").alias("nb"))
+    pairs = pairs.select(F.col("key").alias("a"), F.col("key_").alias("b"), F.col("n").alias("na"), F.col("n_").alias("nb")).distinct()
+    line = F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda x: x["token"])
+    lines = stored(postings.groupBy("key").agg(line.alias("line")), "lines")
+    for end in ("a", "b"):
+        pairs = pairs.join(lines.select(F.col("key").alias(end), F.col("line").alias(f"line_{end}")), end)
+    pairs = pairs.withColumn("common", F.size(F.array_intersect("line_a", "line_b"))).where(limit.enough("common", "na", "nb")).select("a", "b", "na", "nb")
 
     hot = stored(postings.join(hot, "token"), "hot")
-    line = F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda x: x["token"])
-    lines = postings.join(hot.select("key").distinct(), "key", "left_semi").groupBy("key").agg(line.alias("line"))
     blocks = F.ceil(F.col("df") / BLOCK_CLASSES).cast("long")
     own = F.pmod(F.xxhash64("key"), blocks)
     met = hot.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -371,14 +380,21 @@ def _meet(table: pa.Table, limit: Threshold) -> pa.Table:
     key, n, part, place, own = (column(c).astype(np.int64) for c in ("key", "n", "part", "place", "own"))
     here, i, j = table.column("token")[0].as_py(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
     lines = [np.array(x, dtype=np.int64) for x in table.column("line").to_pylist()]
-    names, code = np.unique(np.concatenate(lines), return_inverse=True)
+    _, code, times = np.unique(np.concatenate(lines), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
     before = np.concatenate([np.arange(len(x)) < np.flatnonzero(x == here)[0] for x in lines])
-    every, early = np.zeros((len(lines), len(names)), np.float32), np.zeros((len(lines), len(names)), np.float32)
-    every[row, code] = 1
-    early[row[before], code[before]] = 1
+    several = times[code] > 1
+    row, before, code = row[several], before[several], np.unique(code[several], return_inverse=True)[1]
     x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    common, sooner = every[x] @ every[y].T, early[x] @ early[y].T
+    common, sooner = np.zeros((len(x), len(y)), np.float32), np.zeros((len(x), len(y)), np.float32)
+    turn = np.argsort(code, kind="stable")
+    for a in range(0, int(code.max(initial=-1)) + 1, 2048):
+        now = turn[np.searchsorted(code[turn], a) : np.searchsorted(code[turn], a + 2048)]
+        every, early = np.zeros((len(lines), 2048), np.float32), np.zeros((len(lines), 2048), np.float32)
+        every[row[now], code[now] - a] = 1
+        early[row[now], code[now] - a] = before[now]
+        common += every[x] @ every[y].T
+        sooner += early[x] @ early[y].T
     nx, ny = n[x][:, None], n[y][None, :]
     need = -(-limit.hundredths * (nx + ny) // (100 + limit.hundredths))
     good = (sooner == 0) & (common >= limit.least(nx, ny)) & (part[x][:, None] != part[y][None, :])
@@ -398,12 +414,12 @@ def _stars(postings: DataFrame, limit: Threshold, turn: int) -> DataFrame:
     The centers of a shingle are those of its classes with the least hashes under ``CENTERS`` seeds, so classes with many common
     shingles mostly meet the same centers. The pairs are linear in the classes; a link that they miss is found among what is left.
     """
-    center = [F.col("key").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"), F.col("place").alias("xa")]
+    center = [F.col("key").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")]
     least = [F.min(F.struct(F.xxhash64("key", F.lit(turn * CENTERS + k)).alias("order"), F.struct(*center).alias("c"))) for k in range(CENTERS)]
     centers = postings.groupBy("token").agg(F.array(*least).alias("c"))
     centers = centers.select("token", F.explode(F.array_distinct(F.transform("c", lambda x: x["c"]))).alias("c")).select("token", "c.*")
-    met = postings.join(centers, "token").where((F.col("pa") != F.col("part")) & limit.near("na", "n") & limit.reach("na", "xa", "n", "place"))
-    counted = met.groupBy("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).agg(F.count("*").alias("common"))
+    met = postings.join(centers, "token").where((F.col("pa") != F.col("part")) & limit.near("na", "n"))
+    counted = met.groupBy("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).agg(F.count("*").alias("common")).where(limit.enough("common", "na", "nb"))
     best = Window.partitionBy("b").orderBy(F.desc("common"), "a")
     return counted.withColumn("order", F.row_number().over(best)).where(F.col("order") <= TRIED).select("a", "b", "na", "nb")
 
@@ -411,7 +427,8 @@ def _stars(postings: DataFrame, limit: Threshold, turn: int) -> DataFrame:
 def _sets_of(rows: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
     """Ordered sets of the wanted classes (key, doc), from the text of one document each."""
     ids = wanted.select(F.col("doc").alias("i")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    small = wanted.count() <= BROADCAST_IDS
+    ids, keys = (F.broadcast(x) if small else x for x in (ids, wanted.select("key")))
     # a null id belongs to a class of null ids alone: its rows are found by the null itself
     mine = rows.join(ids, rows["i"].eqNullSafe(ids["i"]), "left_semi")
 
@@ -423,8 +440,8 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, order, size: int) -> DataFrame:
                 key = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_pydict({"key": pa.array(key), "tokens": pa.array([arrange.of(s)[0].tobytes() for s in sets], pa.binary())})
 
-    sets = mine.mapInArrow(run, "key long, tokens binary").join(wanted.select("key"), "key", "left_semi")
-    return stored(sets.dropDuplicates(["key"]), "sets")
+    # Equal rows under one id give a set twice, which confirms a link twice and does no harm.
+    return stored(mine.mapInArrow(run, "key long, tokens binary").join(keys, "key", "left_semi"), "sets")
 
 
 def one_of_each(docs: DataFrame, size: int = WORDS, hundredths: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
