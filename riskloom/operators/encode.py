@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import Word2Vec
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom import limits
 from riskloom.functions.columns import as_category, categorical_columns, replace_columns
-from riskloom.functions.hashing import normal, order_hash
+from riskloom.functions.hashing import normal, order_hash, unit
 from riskloom.functions.lookup import fits_broadcast, lookup
 from riskloom.operators import text
 from riskloom.operators.schema import fit_labels, label_encoded
 from riskloom.session import keep_small, settle
 from riskloom.sources.tables import safe_names
 
+#: Seed of the category vectors.
+VECTOR_SEED = 42
 METHODS = ("onehot", "label", "ordinal", "lsa", "word2vec", "embedding", "row_word2vec", "row_fasttext", "leaveoneout")
 
 
@@ -210,14 +211,12 @@ def leave_one_out_train(
 
 
 def _fit_word2vec(df: DataFrame, cols: Sequence[str], dim: int, window: int) -> DataFrame | None:
-    """(column, value, vector, n): one-word sentences, so the distinct values suffice."""
+    """(column, value, vector, n): a category is a sentence of one word, which has no neighbours to learn from.
+
+    Its vector is therefore the start vector: uniform numbers within half a unit, divided by the width, drawn by a seeded
+    hash of column, value and position. ``window`` has no effect on one-word sentences.
+    """
     if dim <= 0:
         return None
-    counts = keep_small(category_counts(df, cols))
-    out = None
-    for c in cols:
-        words = counts.filter(F.col("column") == c).orderBy("value").select(F.array("value").alias("words"), "value", "n")
-        model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=42, inputCol="words", outputCol="v").fit(words)
-        vectors = text.word_vectors(model).join(words.select("value", "n"), "value").select(F.lit(c).alias("column"), "value", "vector", "n")
-        out = vectors if out is None else out.unionByName(vectors)
-    return keep_small(out)
+    draw = [(unit(order_hash(VECTOR_SEED, "column", "value", F.lit(i))) - 0.5) / float(dim) for i in range(dim)]
+    return keep_small(category_counts(df, cols).select("column", "value", F.array(*draw).alias("vector"), "n"))

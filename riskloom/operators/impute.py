@@ -19,11 +19,10 @@ from riskloom.functions.lookup import lookup
 from riskloom.functions.quantiles import medians
 from riskloom.operators import iterative
 from riskloom.operators.neighbors import knn_join
-from riskloom.session import keep_small
+from riskloom.session import keep_small, ship
 
 METHODS = ("knn", "median", "missforest")
 MOST_PATTERN_PAIRS = 16
-MODE_VALUES = 100_000
 # Fill texts.
 NO_MODE = "__MISSING__"
 NO_CATEGORY = "Unknown"
@@ -195,6 +194,7 @@ def masked_knn(recv: DataFrame, give: DataFrame, cols: list[str], k: int, block_
     Every block of receivers meets every block of donors; a task holds two blocks and
     emits at most k rows per receiver and column.
     """
+    ship(recv.sparkSession)
     r_blocks = max(1, math.ceil(recv.count() / block_rows))
     d_blocks = max(1, math.ceil(give.count() / block_rows))
 
@@ -267,27 +267,16 @@ def impute_knn(df: DataFrame, donors: DataFrame, means: dict[str, float | None],
     )
 
 
-def _worth_counting(df: DataFrame, cols: list[str]) -> list[str]:
-    if not cols:
-        return []
-    row = df.agg(
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"h{i}") for i, c in enumerate(cols)],
-        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)],
-    ).first()
-    return [c for i, c in enumerate(cols) if row[f"h{i}"] or row[f"d{i}"] <= MODE_VALUES]
-
-
 def fit_impute(df: DataFrame, method: str = "knn", exclude: Sequence[str] = (), **params) -> ImputeState:
     """Learn every fill from training rows; ``exclude`` names target and identifiers.
 
-    A non-numeric column gets a mode if it has NULLs or few distinct values; one that
-    has neither (a complete, identifier-like column) is not counted.
+    Every non-numeric column gets its mode, however many values it has: values are counted before they are compared.
     """
     if method not in METHODS:
         raise ValueError(f"unknown imputation method: {method}")
     numeric = numeric_columns(df, exclude)
     holes = null_bearing(df, numeric) if method != "median" else []
-    modes = column_modes(df, _worth_counting(df, non_numeric_columns(df, exclude)))
+    modes = column_modes(df, non_numeric_columns(df, exclude))
     state = ImputeState(method, modes, medians(df, [c for c in numeric if c not in holes]))
     if method == "knn" and holes:
         state.knn_columns = holes

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.quantiles import exact_quantiles
 from riskloom.functions.ranking import smallest_by_hash
-from riskloom.session import hold
+from riskloom.session import hold, ship
 
 SAMPLE = 256
 EULER = 0.5772156649015329
@@ -91,6 +91,7 @@ def fit_isolation(
     pool = pool[np.lexsort(pool.T[::-1])]
     limit = max(1, math.ceil(math.log2(max(psi, 2))))
     spark = df.sparkSession
+    ship(spark)
     shared = spark.sparkContext.broadcast(pool)
 
     def plant(batches):
@@ -138,6 +139,7 @@ def anomaly_score(df: DataFrame, state: IsolationState) -> DataFrame:
 
     Only the scored columns leave the JVM.
     """
+    ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast([_walkable(t) for t in state.trees])
     scale = max(float(mean_path(state.psi)), 1e-12)
 

@@ -10,18 +10,22 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.functions.columns import replace_columns
-from riskloom.operators.schema import MAX_CLASSES
-from riskloom.session import settle
+from riskloom.session import hold, settle
 
-MAX_DEPTH = 12
+#: The deepest trees that the engine grows; with it leaves are as pure as the other limits allow.
+UNLIMITED_DEPTH = 30
 
 
 @dataclass
 class ForestState:
     columns: list[str]
     means: dict[str, float]
-    forests: list[tuple[str, RandomForestRegressionModel]] = field(default_factory=list)
-    rounds: int = 0
+    #: One list of (column, forest) per round, in the order in which they were fitted.
+    forests: list[list[tuple[str, RandomForestRegressionModel]]] = field(default_factory=list)
+
+    @property
+    def rounds(self) -> int:
+        return len(self.forests)
 
 
 def _predictors(columns: Sequence[str], target: str) -> list[str]:
@@ -54,15 +58,16 @@ def fit_forests(
     max_features: str | None = None,
     min_samples_leaf: int = 1,
     min_samples_split: int = 2,
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
     tol: float = 1e-3,
     seed: int = 42,
 ) -> ForestState:
     """Rounds over the columns, fewest gaps first, until the largest change is below
     tol times the largest known absolute value or max_iter rounds are done.
 
-    Only the null-bearing columns are read. Each round ends in a checkpoint, so the
-    lineage stays one round long.
+    Only the null-bearing columns are read. Every step is held while the next forest is fitted on it, and each
+    round ends in a checkpoint, so the lineage stays one round long. The forests of all rounds are kept: applied in
+    order they give the training rows exactly the table on which the fit ended. ``max_depth`` None grows the deepest trees of the engine.
     """
     columns = list(columns)
     trees = int(n_estimators) if n_estimators and n_estimators > 0 else 10
@@ -80,11 +85,13 @@ def fit_forests(
     work = settle(_start(df.select(*columns), columns, means))
     for _ in range(int(max_iter)):
         before = work
-        state.forests = []
+        done: list[tuple[str, RandomForestRegressionModel]] = []
+        state.forests.append(done)
+        held = []
         current = work.select(*work.columns, *[F.col(c).alias(f"_old_{c}") for c in columns])
         for c in order:
             forest = RandomForestRegressor(
-                featuresCol="_x", labelCol=c, predictionCol="_guess", numTrees=trees, maxDepth=max_depth,
+                featuresCol="_x", labelCol=c, predictionCol="_guess", numTrees=trees, maxDepth=UNLIMITED_DEPTH if max_depth is None else int(max_depth),
                 minInstancesPerNode=max(int(min_samples_leaf), int(min_samples_split) // 2),
                 featureSubsetStrategy=str(max_features) if max_features else "all", seed=seed,
             )
@@ -92,10 +99,12 @@ def fit_forests(
                 current.filter(~F.col(f"_hole_{c}"))
             )
             model = forest.fit(known)
-            state.forests.append((c, model))
-            current = _predicted(current, columns, c, model)
+            done.append((c, model))
+            current = hold(_predicted(current, columns, c, model))
+            held.append(current)
         current = settle(current)
-        state.rounds += 1
+        for step in held:
+            step.unpersist()
         shift = current.agg(
             F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"_old_{c}")) for c in columns])).alias("s")
         ).first()["s"]
@@ -106,15 +115,16 @@ def fit_forests(
 
 
 def apply_forests(df: DataFrame, state: ForestState) -> DataFrame:
-    """Mean start, then one pass of the last round's forests; map-only."""
+    """Mean start, then the forests of every round in the order in which they were fitted; map-only."""
     columns = [c for c in state.columns if c in df.columns]
     if len(columns) < len(state.columns) or len(columns) < 2:
         return replace_columns(
             df, {c: F.coalesce(F.col(c).cast("double"), F.lit(state.means[c])) for c in columns}
         )
     out = _start(df, columns, state.means)
-    for c, model in state.forests:
-        out = _predicted(out, columns, c, model)
+    for done in state.forests:
+        for c, model in done:
+            out = _predicted(out, columns, c, model)
     return out.select(*df.columns)
 
 
@@ -122,9 +132,7 @@ def impute_mixed(train: DataFrame, df: DataFrame, text_columns: Sequence[str], n
     """Text columns take part as sorted label codes, rounded and clipped back to labels."""
     labels = {}
     for c in text_columns:
-        rows = train.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"column {c!r} has more than {MAX_CLASSES} labels; leave it out")
+        rows = train.select(c).filter(F.col(c).isNotNull()).distinct().collect()
         labels[c] = sorted(r[0] for r in rows)
 
     def coded(t: DataFrame) -> DataFrame:

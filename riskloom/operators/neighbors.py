@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from riskloom import limits
 from riskloom.functions.ranking import smallest_by_hash
-from riskloom.session import keep_small, settle
+from riskloom.session import keep_small, settle, ship
 
 _MAX_PIVOTS = 16_384
 _POINTS_PER_PIVOT = 2_000
@@ -120,6 +120,7 @@ def block_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _nearest_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+    ship(df.sparkSession)
     schema = T.StructType(
         [*df.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("pd", T.DoubleType())]
     )

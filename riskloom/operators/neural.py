@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.hashing import order_hash
 from riskloom.operators.metrics import binary_cells, class_cells, rank_metrics
-from riskloom.session import hold
+from riskloom.session import hold, ship
 
 ROWS_PER_PART = 5_000
 MOST_ROWS_PER_PART = 1_000_000
+MOST_PARTS = 64
 _TINY = 1e-7
 
 
@@ -115,6 +116,7 @@ def fit_network(
 ) -> tuple[Network, list[dict]]:
     """Early stopping watches a tenth of the training rows, picked by key hash."""
     spark = train.sparkSession
+    ship(spark)
     hidden = [int(u) for u in params.get("hidden_layer_sizes", (64, 32))]
     width = 1 if classes == 2 else classes
     sizes = [len(features), *hidden, width]
@@ -129,7 +131,8 @@ def fit_network(
     h = order_hash(seed, key) if key else F.md5(F.to_json(F.struct(x.alias("x"), F.col(label))))
     data = train.select(x.alias("x"), F.col(label).cast("int").alias("y"), h.alias("h"))
     n = train.count()
-    parts = max(1, min(math.ceil(n / ROWS_PER_PART), max(math.ceil(n / MOST_ROWS_PER_PART), spark.sparkContext.defaultParallelism)))
+    # The number of averaged workers follows the rows alone, so a cluster of another size fits the same network.
+    parts = max(1, min(math.ceil(n / ROWS_PER_PART), max(MOST_PARTS, math.ceil(n / MOST_ROWS_PER_PART))))
     split = F.substring("h", 1, 4) < F.lit(f"{int(65536 * 0.1):04x}")
     fit_rows = hold(data.filter(~split).repartition(parts, "h").sortWithinPartitions("h"))
     watch = hold(data.filter(split))

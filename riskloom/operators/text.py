@@ -20,6 +20,8 @@ from riskloom.functions.lookup import lookup
 from riskloom.session import keep_small
 
 MAX_TERMS = 1_000_000
+#: Partitions on which word vectors are trained and averaged, whatever the cluster.
+W2V_PARTS = 8
 
 
 def rows_to_text(cols: Sequence[str]) -> Column:
@@ -155,7 +157,7 @@ def fit_row_embedding(df: DataFrame, cols: Sequence[str], kind: str, dim: int) -
     sentences = df.select(row_tokens(rows_to_text(cols), "word2vec").alias("words"))
     model = Word2Vec(
         vectorSize=dim, windowSize=5, minCount=1, maxIter=5, seed=42, inputCol="words", outputCol="v",
-        numPartitions=max(1, min(256, df.sparkSession.sparkContext.defaultParallelism)),
+        numPartitions=W2V_PARTS,
     ).fit(sentences)
     vectors = word_vectors(model)
     if kind == "fasttext":

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.functions.hashing import hash_long, order_hash
+from riskloom.functions.hashing import order_hash
 from riskloom.functions.ranking import at_or_below, hash_cutoffs
 from riskloom.operators import models
 from riskloom.session import hold
@@ -21,19 +21,20 @@ def learning_curve(
 ) -> DataFrame:
     """(train_size, train_mean, train_std, test_mean, test_std) of accuracy over folds.
 
-    Rows fall into folds by hash inside each class; a training size is the rows of
-    smallest hash among the other folds.
+    Each class is cut into folds of equal size by seeded hash rank, and a training size takes the same share of
+    every class among the other folds, one row at least.
     """
-    data = hold(
-        df.select(key, label, *features)
-        .withColumn("_fold", F.pmod(hash_long(order_hash(f"{seed}:fold", key)), F.lit(folds)))
-        .withColumn("_h", order_hash(f"{seed}:size", key))
-    )
+    h, group = order_hash(f"{seed}:fold", key), F.col(label)
+    fold_of = F.lit(0)
+    for f in range(1, folds):
+        cuts, _ = hash_cutoffs(df, h, lambda c, f=f: {g: f * m // folds for g, m in c.items()}, group)
+        fold_of = fold_of + F.when(at_or_below(h, cuts, group), 0).otherwise(1)
+    data = hold(df.select(key, label, *features, fold_of.alias("_fold"), order_hash(f"{seed}:size", key).alias("_h")))
 
     def run(fold: int, size: float):
         rest = data.filter(F.col("_fold") != fold)
-        cuts, n = hash_cutoffs(rest, F.col("_h"), lambda c: {g: max(1, int(size * m)) for g, m in c.items()})
-        part = rest.filter(at_or_below(F.col("_h"), cuts))
+        cuts, n = hash_cutoffs(rest, F.col("_h"), lambda c: {g: max(1, int(size * m)) for g, m in c.items()}, group)
+        part = rest.filter(at_or_below(F.col("_h"), cuts, group))
         model = models.fit_model(part, kind, features, label, params, seed, key)
         both = part.withColumn("_train", F.lit(True)).unionByName(
             data.filter(F.col("_fold") == fold).withColumn("_train", F.lit(False))

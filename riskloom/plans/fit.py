@@ -23,7 +23,8 @@ from riskloom.session import hold
 from riskloom.sources.tables import safe_names, with_safe_names
 
 LABEL, ROW = "_y", "_rid"
-SMALL_TABLE = 5_000_000
+#: Rows of one task: the layout, and with it the seeded bagging of the forests, follows the rows alone.
+TASK_ROWS = 20_000
 log = logging.getLogger(__name__)
 
 
@@ -77,11 +78,16 @@ class Fitted:
 
 
 def align_raw(df: DataFrame, raw: T.StructType) -> DataFrame:
-    """The training columns in order and type; a missing number is 0, missing text NULL."""
+    """The training columns in order; a missing number is 0, missing text NULL.
+
+    Numbers are doubles, as all features are, so a fraction in a column of whole numbers is kept. A cell that is no number counts
+    as missing and is imputed; :func:`unreadable` tells how many there are.
+    """
     out = []
     for f in raw:
         if f.name in df.columns:
-            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            number = isinstance(f.dataType, T.NumericType)
+            out.append((F.col(f.name).try_cast("double") if number else F.col(f.name).cast(f.dataType)).alias(f.name))
         else:
             fill = F.lit(0) if isinstance(f.dataType, T.NumericType) else F.lit(None)
             out.append(fill.cast(f.dataType).alias(f.name))
@@ -89,6 +95,16 @@ def align_raw(df: DataFrame, raw: T.StructType) -> DataFrame:
     return nan_to_null(df.select(*kept, *out))
 
 
+def unreadable(df: DataFrame, raw: T.StructType) -> dict[str, int]:
+    """Numeric training columns of a table to score that hold cells which are no number, with their count; one aggregate."""
+    names = [f.name for f in raw if f.name in df.columns and isinstance(f.dataType, T.NumericType) and not isinstance(df.schema[f.name].dataType, T.NumericType)]
+    if not names:
+        return {}
+    bad = [F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull(), 1)).alias(f"b{i}") for i, c in enumerate(names)]
+    row = df.agg(*bad).first()
+    return {c: row[f"b{i}"] for i, c in enumerate(names) if row[f"b{i}"]}
+
+
 @dataclass
 class Shaped:
     """Split rows with key, class index and raw features; the common start of every configuration."""
@@ -106,8 +122,7 @@ def shape(
 ) -> Shaped:
     """Rows with a known target, keyed and split; identifier columns leave the features.
 
-    A test table without known targets gives way to a validation cut of train. A table of few rows often comes in fewer partitions than there are cores and is
-    spread; a large one keeps the layout of its scan.
+    A test table without known targets gives way to a validation cut of train. Rows are dealt by key into tasks of ``TASK_ROWS``.
     """
     reject_nested(df)
     df = schema.drop_duplicate_columns(df)
@@ -131,12 +146,12 @@ def shape(
     state = schema.fit_target(train, target)
     dropped = list(dict.fromkeys([*ids, *[k for k in keys if k != target]]))
     keep = [c for c in df.columns if c not in dropped and c != target]
-    tasks = max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / 5_000)))
+    tasks = max(1, math.ceil(n / TASK_ROWS))
 
     def shaped(t: DataFrame) -> DataFrame:
         present = [F.col(c) if c in t.columns else F.lit(None).alias(c) for c in keep]
         out = t.select(ROW, schema.class_index(state).alias(LABEL), *present).filter(F.col(LABEL).isNotNull())
-        return out.repartition(tasks, ROW) if n <= SMALL_TABLE else out
+        return out.repartition(tasks, ROW).sortWithinPartitions(ROW)
 
     train, rest = hold(shaped(train)), hold(shaped(rest))
     raw = T.StructType([df.schema[c] for c in keep])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.operators import encode
 from riskloom.plans import config
 from riskloom.plans.catalog import CATS, EXPECTED, VEC, gene_sql
 from riskloom.sources.views import APPS_SQL, DOCS_SQL, ITEM_KEYS, ITEMS_SQL, SCORED_SQL, VECS_SQL
@@ -218,6 +219,9 @@ def oracle_sql() -> dict[str, str]:
             CAST(o_orderstatus = 'P' AS INTEGER)::DOUBLE AS "o_orderstatus_P" FROM apps""",
         "encode_label": f"{apps}, fitted AS (SELECT * FROM apps WHERE o_orderpriority <> '5-LOW') " + codes("apps", "fitted", CATS, '"ID"'),
         "encode_ordinal": f"{items}, fitted AS (SELECT * FROM items WHERE l_returnflag <> 'R') " + codes("items", "fitted", ["l_returnflag", "l_linestatus"], KEYS),
+        "encode_word2vec": f"{apps} SELECT \"ID\", " + ", ".join(
+            f"(('0x' || substr(md5('{encode.VECTOR_SEED}:{c}:' || coalesce({c}, 'nan') || ':{i}'), 1, 12))::BIGINT / 281474976710656::DOUBLE - 0.5) / 25::DOUBLE AS {c}_w2v_{i}"
+            for c in CATS for i in range(25)) + " FROM apps",
         "rows_to_text": f"{apps} SELECT \"ID\", " + " || ' ' || ".join(f"'{c}_' || coalesce({c}, 'nan')" for c in CATS) + " AS text FROM apps",
         "encode_tfidf": f"""WITH {TEXTS},
             w AS (SELECT text, n, regexp_extract_all(lower(text), '\\w\\w+') AS ws FROM texts),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +57,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/riskloom-{uuid.uuid4().hex[:12]}/{name}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers: one zip in the shared folder, once per session.
+
+    Workers import the functions of this package by name; they need not run where the package lies.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_riskloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.join("riskloom", os.path.relpath(path, root)))
+    target = scratch_path(spark, "riskloom.zip")
+    jvm_path = context._jvm.org.apache.hadoop.fs.Path(target)
+    out = jvm_path.getFileSystem(context._jsc.hadoopConfiguration()).create(jvm_path, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    context.addPyFile(target)
+    context._riskloom_shipped = True
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage through reliable storage."""
     shared_folder(df.sparkSession)

@@ -37,14 +37,32 @@ def with_safe_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return (df.toDF(*[names[c] for c in df.columns]) if changed else df), changed
 
 
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the cells of both: long and double give double, anything else that differs gives text."""
+    if a == b:
+        return a
+    numbers = (T.LongType, T.DoubleType)
+    return T.DoubleType() if isinstance(a, numbers) and isinstance(b, numbers) else T.StringType()
+
+
+def joint_schema(a: T.StructType, b: T.StructType) -> T.StructType:
+    other = {f.name: f.dataType for f in b}
+    return T.StructType([T.StructField(f.name, _wider(f.dataType, other.get(f.name, f.dataType))) for f in a])
+
+
+def _csv_cells(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Every cell as text under safe names, missing tokens as NULL."""
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+    raw = raw.toDF(*safe_names(raw.columns).values())
+    return raw.select(*[F.when(~F.col(c).isin(MISSING_TOKENS), F.col(c)).alias(c) for c in raw.columns])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header. Types are inferred in one pass unless a schema is given.
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
-    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
-    raw = raw.toDF(*safe_names(raw.columns).values())
-    clean = raw.select(*[F.when(~F.col(c).isin(MISSING_TOKENS), F.col(c)).alias(c) for c in raw.columns])
+    clean = _csv_cells(spark, path, multi_line)
     if schema is None:
         schema = infer_schema(clean)
     by_name = {f.name: f.dataType for f in schema}
@@ -100,11 +118,15 @@ def read_table(
 def read_pair(spark: SparkSession, train_path: str, test_path: str) -> DataFrame:
     """Explicit train and test files as one table with a _split column.
 
-    Both files are parsed with the types found in the train file; a column that
+    Two CSV files are parsed with types that hold the cells of both, so no cell is lost; a column that
     only one of them has is NULL in the other.
     """
-    train = read_table(spark, train_path)
-    test = read_table(spark, test_path, train.schema if test_path.endswith(".csv") else None)
+    endings = (".csv", ".csv.gz")
+    if train_path.rstrip("/").endswith(endings) and test_path.rstrip("/").endswith(endings):
+        one, two = (infer_schema(_csv_cells(spark, p, False)) for p in (train_path, test_path))
+        train, test = read_table(spark, train_path, joint_schema(one, two)), read_table(spark, test_path, joint_schema(two, one))
+    else:
+        train, test = read_table(spark, train_path), read_table(spark, test_path)
     return train.withColumn("_split", F.lit("train")).unionByName(
         test.withColumn("_split", F.lit("test")), allowMissingColumns=True
     )
