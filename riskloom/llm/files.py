@@ -14,7 +14,7 @@ from contextlib import contextmanager
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskloom.session import scratch_path
+from riskloom.session import scratch_path, ship
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -69,6 +69,7 @@ def packed(docs: DataFrame, *added: str) -> tuple[list[str], Column]:
 
     Inside one struct their names can clash with none of the operator's own.
     """
+    ship(docs.sparkSession)
     names = [c for c in docs.columns if c not in added]
     return names, F.struct(*[docs[f"`{c}`"] for c in names])
 
@@ -76,6 +77,7 @@ def packed(docs: DataFrame, *added: str) -> tuple[list[str], Column]:
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder (or ``folder``) and read again."""
     spark: SparkSession = df.sparkSession
+    ship(spark)
     path = f"{folder.rstrip('/')}/{name}" if folder else scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

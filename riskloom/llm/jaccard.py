@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskloom.functions.lookup import lookup
 from riskloom.llm.components import components
 from riskloom.llm.files import stored
-from riskloom.llm.words import Words, byte_texts, mix, slices
+from riskloom.llm.words import Words, byte_texts, mix, release, slices
 
 WORDS = 5
 #: Shingles counted together in a task, and how often one must occur there to be reported as frequent.
@@ -205,6 +205,7 @@ def _shared(table: pa.Table) -> pa.Table:
     """Of one segment: the postings whose shingle two classes or more have in their prefix, or may have if it is frequent."""
     kinds = {"tokens": np.int64, "keys": np.int64, "places": np.int32}
     token, key, place = (np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=k) for c, k in kinds.items())
+    release()
     if table.column("segment")[0].as_py() >= 0:
         turn = np.lexsort((key, token))
         turn = turn[_new(token[turn], key[turn])]

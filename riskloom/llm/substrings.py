@@ -145,7 +145,7 @@ def _first_round(rows: DataFrame, length: int, segments: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", 4 << 20):
                 ids = part.column("i").fill_null(_LAST).to_numpy(zero_copy_only=False)
                 hashes = part.column("h").to_numpy(zero_copy_only=False)
                 found: list[tuple[np.ndarray, ...]] = []

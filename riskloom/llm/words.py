@@ -6,16 +6,25 @@ the word alone, so they agree between tasks, runs and machines.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: ASCII upper case to lower case; every other byte stays.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 STRIP = b" \t\n\x0b\x0c\r"
 
+try:
+    _LIBC = ctypes.CDLL(ctypes.util.find_library("c") or "libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018
+except (OSError, AttributeError):
+    _LIBC = None
+
 _BYTE = np.random.Generator(np.random.PCG64(611953)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _PIECE = 1 << 20
@@ -112,10 +121,16 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def release() -> None:
+    """Give freed memory back to the system; workers stay for later tasks and would hold it."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def slices(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of about ``most`` text bytes; a longer text is a run of its own."""
-    column = batch.column(text)
-    size = [len(x or b"") for x in column.cast(pa.large_binary()).to_pylist()]
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     a, total = 0, 0
     for i, n in enumerate(size):
         if i > a and total + n > most:
@@ -124,3 +139,4 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa
         total += n
     if a < len(size):
         yield batch.slice(a)
+    release()
