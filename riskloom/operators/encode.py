@@ -198,16 +198,16 @@ def leave_one_out_train(
 ) -> DataFrame:
     """Training form: each row's own target is left out; optional multiplicative noise."""
     y = target_number(df, target)
-    work = df.withColumn("_y", y)
+    work = df.withColumn("_own", y)
 
     def make(c: str) -> dict[str, Column]:
-        rest = (F.col("total.s") - F.col("_y")) / (F.col("total.n") - 1)
+        rest = (F.col("total.s") - F.col("_own")) / (F.col("total.n") - 1)
         value = F.when(F.col("total.n") > 1, rest).otherwise(F.lit(state.prior))
         if sigma:
             value = value * (1.0 + sigma * normal(order_hash(seed, F.lit(c), *[F.col(k) for k in keys])))
         return {c: value}
 
-    return per_column_lookup(work, state.columns, state.table, ["total"], make, state.small).drop("_y")
+    return per_column_lookup(work, state.columns, state.table, ["total"], make, state.small).drop("_own")
 
 
 def _fit_word2vec(df: DataFrame, cols: Sequence[str], dim: int, window: int) -> DataFrame | None:

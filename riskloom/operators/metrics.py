@@ -152,5 +152,10 @@ def evaluate(scored: DataFrame, label: str, prediction: str, probabilities: str,
     for name in ("roc_auc", "auprc"):
         values = [r[name] for r in rows]
         metrics[name] = sum(values) / len(values) if values and None not in values else None
+    # Per-class average precision weighted by support; with two classes that of the positive class.
+    support_of = {c: v for c, m, v in report if m == "support"}
+    known = [(support_of.get(str(r["cls"]), 0.0), r["auprc"]) for r in rows if r["auprc"] is not None]
+    whole = sum(n for n, _ in known)
+    metrics["average_precision_weighted"] = sum(n * v for n, v in known) / whole if whole else None
     base.unpersist()
     return metrics, report

@@ -186,10 +186,15 @@ def prepare(data: Shaped, config: dict, reuse: Callable | None = None) -> Prepar
     kept = step("outlier", do_outliers)
 
     def do_encode():
-        state = encode.fit_encode(kept, config["encoding"]["method"], None, skip, **config["encoding"]["params"])
+        method, params = config["encoding"]["method"], config["encoding"]["params"]
+        own_target = method == "leaveoneout"
+        state = encode.fit_encode(kept, method, LABEL if own_target else None, skip, **params)
         if state.unencoded:
             raise Unencoded(f"too many categories for one-hot: {state.unencoded}")
-        return keep(encode.apply_encode(kept, state)), keep(encode.apply_encode(test, state)), state
+        coded = encode.apply_encode(kept, state)
+        if own_target and state.columns:
+            coded = encode.leave_one_out_train(kept, state, LABEL, [ROW], float(params.get("sigma", 0.05)))
+        return keep(coded), keep(encode.apply_encode(test, state)), state
 
     coded, coded_test, encoded = step("encoding", do_encode)
     features = [c for c in coded.columns if c not in skip]

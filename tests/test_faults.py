@@ -114,3 +114,28 @@ def test_many_values_and_many_classes(spark):
     target = schema.fit_target(df, "y")
     assert len(target.classes) == 1500
     assert df.select(schema.class_index(target).alias("c")).distinct().count() == 1500
+
+
+def test_leave_one_out_through_the_pipeline(spark, sf):
+    apps = views.apps(spark, sf).select("ID", "o_totalprice", "o_orderpriority", "label")
+    config = {
+        "imputation": {"method": "median", "params": {}}, "outlier": {"method": "none", "params": {}},
+        "encoding": {"method": "leaveoneout", "params": {"sigma": 0.0}}, "resampling": {"method": "none", "params": {}},
+        "scaling": {"method": "none", "params": {}}, "model": {"method": "logistic_regression", "params": {}},
+    }
+    data = fit.shape(apps, "label", ["ID"])
+    ready = fit.prepare(data, config)
+    sums = {}
+    for r in data.train.collect():
+        n, s = sums.get(r["o_orderpriority"], (0, 0))
+        sums[r["o_orderpriority"]] = (n + 1, s + r[fit.LABEL])
+    kind = {r[fit.ROW]: r["o_orderpriority"] for r in data.train.collect()}
+    for r in ready.train.collect():
+        n, s = sums[kind[r[fit.ROW]]]
+        assert r["o_orderpriority"] == pytest.approx((s - r[fit.LABEL]) / (n - 1))
+    kind = {r[fit.ROW]: r["o_orderpriority"] for r in data.test.collect()}
+    for r in ready.test.collect():
+        n, s = sums[kind[r[fit.ROW]]]
+        assert r["o_orderpriority"] == pytest.approx(s / n)
+    fitted = fit.fit_config(apps, "label", config, ["ID"])
+    assert 0 <= fitted.metrics["auprc"] <= 1 and fitted.metrics["average_precision_weighted"] == pytest.approx(fitted.metrics["auprc"])
