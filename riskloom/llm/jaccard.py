@@ -299,14 +299,16 @@ def _grouped(docs: DataFrame, size: int, hundredths: int, doc_id: str, text: str
     packed = _postings(rows, order, size, limit, segments)
     shared = packed.groupBy("segment").applyInArrow(_shared, "token long, key long, place int")
     sizes = classes.select("key", "n")
-    shared = stored(shared.distinct().join(sizes, "key"), "shared")
+    # Joined by key first, so that equal postings already lie together.
+    shared = stored(shared.join(sizes, "key").distinct(), "shared")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return _confirmed(pairs, rows, classes, order, size, limit)
 
     links = label = known = None
     for turn in range(STAR_ROUNDS):
-        stars = stored(_stars(_open(shared, label), limit, turn), "stars")
+        postings = shared.withColumn("part", F.col("key")) if label is None else _open(shared, label)
+        stars = stored(_stars(postings, limit, turn), "stars")
         found = stored(confirmed(stars), "links")
         links = found if links is None else links.unionAll(found)
         known = stars if known is None else known.unionAll(stars)
@@ -334,13 +336,15 @@ def _text_hash(value: Column) -> Column:
     return F.xxhash64(F.coalesce(value, F.lit("")))
 
 
-def _open(shared: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Prefix postings (token, key, n, place, part) of the shingles that two components or more have; part is the component."""
-    if label is None:
-        marked = shared.withColumn("part", F.col("key"))
-    else:
-        marked = shared.join(label.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", "place", F.coalesce("component", "key").alias("part"))
-    several = marked.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("token")
+def _open(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """Prefix postings (token, key, n, place, part, df) of the shingles that two components or more have.
+
+    part is the component, df the number of classes that have the shingle.
+    """
+    label = label.withColumnRenamed("node", "key")
+    label = F.broadcast(label) if label.count() <= BROADCAST_IDS else label
+    marked = shared.join(label, "key", "left").select("token", "key", "n", "place", F.coalesce("component", "key").alias("part"))
+    several = marked.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("df")).where("x < y").select("token", "df")
     return marked.join(several, "token")
 
 
@@ -350,9 +354,7 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
     Shingles of fewer than ``HOT`` classes are joined with themselves and the pairs' open prefixes compared. The classes of the others meet in blocks, each with its open
     prefix, and a block only gives out the pairs that meet there first and share enough.
     """
-    counted = postings.groupBy("token").agg(F.count("*").alias("df"))
-    few, hot = counted.where(F.col("df") < HOT).select("token"), counted.where(F.col("df") >= HOT)
-    left = postings.join(few, "token")
+    left, hot = postings.where(F.col("df") < HOT), postings.where(F.col("df") >= HOT)
     right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "part", "place")])
     other = (F.col("key") < F.col("key_")) & (F.col("part") != F.col("part_"))
     pairs = left.join(right, "token").where(other & limit.near("n", "n_") & limit.reach("n", "place", "n_", "place_"))
@@ -363,7 +365,6 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
         pairs = pairs.join(lines.select(F.col("key").alias(end), F.col("line").alias(f"line_{end}")), end)
     pairs = pairs.withColumn("common", F.size(F.array_intersect("line_a", "line_b"))).where(limit.enough("common", "na", "nb")).select("a", "b", "na", "nb")
 
-    hot = stored(postings.join(hot, "token"), "hot")
     blocks = F.ceil(F.col("df") / BLOCK_CLASSES).cast("long")
     own = F.pmod(F.xxhash64("key"), blocks)
     met = hot.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
