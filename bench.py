@@ -16,7 +16,7 @@ HEADLINE = [
     "holdout_split", "stratified_split", "numeric_stats", "target_correlations", "impute_median", "impute_mode", "impute_knn",
     "outlier_iqr", "outlier_iforest", "encode_label", "encode_onehot", "encode_leave_one_out", "encode_tfidf", "encode_lsa",
     "resample_oversample", "resample_smote", "resample_adasyn", "scale_standard", "scale_minmax",
-    "model_logreg", "model_random_forest", "metric_roc_auc", "metric_auprc", "classification_report",
+    "encode_word2vec", "encode_row_embedding", "model_logreg", "model_random_forest", "model_gradient_boosting", "model_neural_network", "training_history", "metric_roc_auc", "metric_auprc", "classification_report",
     "decode_trials", "generation_best", "fitness_carry_forward", "score_predict",
 ]
 

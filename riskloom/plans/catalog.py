@@ -199,13 +199,40 @@ def impute_knn(spark, sf):
 
 def impute_iterative_rf(spark, sf):
     i = views.items(spark, sf).select(*views.ITEM_KEYS, "l_discount", "l_tax")
-    state = impute.fit_impute(i, "missforest", views.ITEM_KEYS, n_estimators=10, max_iter=5)
+    state = impute.fit_impute(i, "missforest", views.ITEM_KEYS, n_estimators=10, max_iter=5, max_depth=12)
     return impute.apply_impute(i, state, views.ITEM_KEYS)
 
 
 def impute_missforest_mixed(spark, sf):
     a = views.apps(spark, sf).select("ID", "o_totalprice", "c_acctbal", *CATS)
-    return iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=10, max_iter=3)
+    return iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=10, max_iter=3, max_depth=12)
+
+
+def _cells_checked(filled, cols, keys):
+    """Per cell: the value where it was observed, and whether the filled value lies in the observed range."""
+    limits = filled.agg(*[f(F.col(f"_was_{c}")).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    out = list(keys)
+    for c in cols:
+        out += [
+            F.when(F.col(f"_was_{c}").isNotNull(), F.col(c)).alias(f"{c}_observed"),
+            F.coalesce(F.col(c).between(F.lit(limits[f"lo_{c}"]), F.lit(limits[f"hi_{c}"])), F.lit(False)).alias(f"{c}_in_range"),
+        ]
+    return filled.select(*out)
+
+
+def impute_iterative_rf_cells(spark, sf):
+    cols = ["l_discount", "l_tax"]
+    i = views.items(spark, sf).select(*views.ITEM_KEYS, *cols, *[F.col(c).alias(f"_was_{c}") for c in cols])
+    skip = [*views.ITEM_KEYS, *[f"_was_{c}" for c in cols]]
+    state = impute.fit_impute(i, "missforest", skip, n_estimators=10, max_iter=5, max_depth=12)
+    return _cells_checked(impute.apply_impute(i, state, skip), cols, views.ITEM_KEYS)
+
+
+def impute_missforest_mixed_cells(spark, sf):
+    cols = ["o_totalprice", "c_acctbal", "c_mktsegment", "o_orderstatus"]
+    a = views.apps(spark, sf).select("ID", *cols, *[F.col(c).alias(f"_was_{c}") for c in cols])
+    return _cells_checked(
+        iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=10, max_iter=3, max_depth=12), cols, ["ID"])
 
 
 def impute_final_sweep(spark, sf):
@@ -262,6 +289,17 @@ def encode_lsa(spark, sf):
     return _encoded(views.apps(spark, sf).select("ID", *CATS), "lsa", n_components=5, ngram_range=(1, 2))
 
 
+def encode_lsa_cosines(spark, sf):
+    """With at least as many components as terms, products of two texts' components are their TF-IDF cosines."""
+    a = views.apps(spark, sf).select("ID", text.rows_to_text(CATS).alias("text"), *CATS)
+    coded = _encoded(a, "lsa", exclude=("ID", "text"), n_components=80, ngram_range=(1, 2))
+    parts = [c for c in coded.columns if c.startswith("LSA_")]
+    own = coded.groupBy("text").agg(F.array(*[F.first(c) for c in parts]).alias("v")).withColumn("segment", F.split("text", " ")[0])
+    other = own.select("segment", F.col("text").alias("text_b"), F.col("v").alias("w"))
+    dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return own.join(other, "segment").where("text <= text_b").select("text", "text_b", (F.round(dot, 5) + 0.0).alias("cosine"))
+
+
 def encode_word2vec(spark, sf):
     return _encoded(views.apps(spark, sf).select("ID", *CATS), "word2vec", embedding_dim=25, window=1)
 
@@ -549,6 +587,21 @@ def bundle_load(spark, sf):
     return bundle.score_bundle(spark, f"{path}/flagship", views.apps(spark, sf))
 
 
+def bundle_agrees(spark, sf):
+    """Row by row: the saved and loaded model scores like the fitted one."""
+    path = scratch_path(spark, "models")
+    fitted, apps = flagship(spark, sf), views.apps(spark, sf)
+    bundle.save(fitted, spark, f"{path}/flagship", "orders", "manual")
+    mine = fitted.score(apps).select("ID", "prediction", "probability_class_1", "risk_level")
+    back = bundle.score_bundle(spark, f"{path}/flagship", apps).select("ID", *[F.col(c).alias(f"_{c}") for c in mine.columns[1:]])
+    near = F.abs(F.col("probability_class_1") - F.col("_probability_class_1")) < 1e-9
+    return mine.join(back, "ID").select(
+        "ID", (near & (F.col("prediction") == F.col("_prediction")) & (F.col("risk_level") == F.col("_risk_level"))).alias("agrees"),
+        (F.col("prediction") == (F.col("probability_class_1") > 0.5).cast("int")).alias("prediction_fits"),
+        F.col("probability_class_1").between(0.0, 1.0).alias("is_probability"),
+    )
+
+
 def model_registry(spark, sf):
     path = scratch_path(spark, "models")
     for name in ("first", "second"):
@@ -590,8 +643,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     drop_columns, drop_duplicate_columns, target_coerce, target_label_encode, align_features, alignment_report,
     missing_summary, numeric_stats, target_distribution, target_correlations,
     impute_mode, impute_categorical, impute_median, impute_median_stateful, impute_knn, impute_iterative_rf,
-    impute_missforest_mixed, impute_final_sweep, outlier_iqr, outlier_iforest,
-    encode_onehot, encode_onehot_drop_first, encode_label, encode_ordinal, rows_to_text, encode_tfidf, encode_lsa, encode_word2vec,
+    impute_iterative_rf_cells, impute_missforest_mixed, impute_missforest_mixed_cells, impute_final_sweep, outlier_iqr, outlier_iforest,
+    encode_onehot, encode_onehot_drop_first, encode_label, encode_ordinal, rows_to_text, encode_tfidf, encode_lsa, encode_lsa_cosines, encode_word2vec,
     encode_row_embedding, encode_row_fasttext, encode_leave_one_out,
     class_targets, resample_oversample, resample_undersample, resample_smote, resample_adasyn,
     scale_standard, scale_minmax, scale_test, scale_on_score,
@@ -600,7 +653,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     metric_accuracy, metric_f1, metric_precision_recall, metric_roc_auc, metric_auprc, metric_multiclass, classification_report,
     learning_curve, training_history,
     decode_trials, evaluate_config, genetic_search, generation_best, best_by_model, fitness_carry_forward, elite_topk, refit_best, run_config,
-    bundle_save, bundle_load, model_registry, score_preprocess, score_predict, format_results, risk_level, model_only_score,
+    bundle_save, bundle_load, bundle_agrees, model_registry, score_preprocess, score_predict, format_results, risk_level, model_only_score,
 ]
 
 

@@ -233,6 +233,23 @@ def oracle_sql() -> dict[str, str]:
             idf AS (SELECT term, ln((1 + r) / (1.0 + df)) + 1 AS idf FROM df, total WHERE df >= 5 AND df <= 0.5 * r),
             x AS (SELECT text, n, term, tf * idf AS x FROM tf JOIN idf USING (term))
             SELECT text, n, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY text)), 6) AS tfidf FROM x""",
+        "encode_lsa_cosines": f"""WITH {TEXTS},
+            w AS (SELECT text, n, regexp_extract_all(lower(text), '\\w\\w+') AS ws FROM texts),
+            grams AS (SELECT text, n, unnest(ws) AS term FROM w
+              UNION ALL SELECT text, n, ws[i] || ' ' || ws[i + 1] AS term FROM (SELECT text, n, ws, unnest(range(1, len(ws))) AS i FROM w)),
+            tf AS (SELECT text, n, term, count(*) AS tf FROM grams GROUP BY 1, 2, 3),
+            total AS (SELECT sum(n) AS r FROM texts),
+            df AS (SELECT term, sum(n) AS df FROM tf GROUP BY 1),
+            idf AS (SELECT term, ln((1 + r) / (1.0 + df)) + 1 AS idf FROM df, total WHERE df >= 5 AND df <= 0.5 * r),
+            x AS (SELECT text, term, tf * idf AS x FROM tf JOIN idf USING (term)),
+            u AS (SELECT text, term, x / sqrt(sum(x * x) OVER (PARTITION BY text)) AS u FROM x),
+            p AS (SELECT a.text, b.text AS text_b FROM texts a JOIN texts b ON split_part(a.text, ' ', 1) = split_part(b.text, ' ', 1) AND a.text <= b.text)
+            SELECT p.text, p.text_b, round(coalesce(sum(c.u * d.u), 0), 5) + 0.0::DOUBLE AS cosine
+            FROM p LEFT JOIN u c ON c.text = p.text LEFT JOIN u d ON d.text = p.text_b AND d.term = c.term GROUP BY 1, 2""",
+        "impute_iterative_rf_cells": f"{items} SELECT {KEYS}, l_discount AS l_discount_observed, true AS l_discount_in_range, l_tax AS l_tax_observed, true AS l_tax_in_range FROM items",
+        "impute_missforest_mixed_cells": f"{apps} SELECT \"ID\", " + ", ".join(
+            f"{c} AS {c}_observed, true AS {c}_in_range" for c in ("o_totalprice", "c_acctbal", "c_mktsegment", "o_orderstatus")) + " FROM apps",
+        "bundle_agrees": f"{apps} SELECT \"ID\", true AS agrees, true AS prediction_fits, true AS is_probability FROM apps",
         "encode_leave_one_out": f"{apps}, a AS (SELECT avg(label) AS prior FROM apps) SELECT \"ID\", " + ", ".join(
             f"round(CASE WHEN count(*) OVER (PARTITION BY {c}) > 1 THEN (sum(label) OVER (PARTITION BY {c}) - label) / (count(*) OVER (PARTITION BY {c}) - 1.0::DOUBLE) ELSE prior END, 6) AS {c}"
             for c in CATS
