@@ -55,10 +55,15 @@ def hash_cutoffs(
                         tails.append(g)
                 break
         if tails:
-            rows = _inside(base, {g: open_groups[g][0] for g in tails}).collect()
+            # Equal hashes arrive as one row with their count, so a key that repeats is no burden.
+            rows = _inside(base, {g: open_groups[g][0] for g in tails}).groupBy("g", "h").count().collect()
             for g in tails:
-                values = sorted(r["h"] for r in rows if r["g"] == g)
-                cutoffs[g] = values[open_groups[g][1] - 1]
+                left = open_groups[g][1]
+                for h, n in sorted((r["h"], r["count"]) for r in rows if r["g"] == g):
+                    left -= n
+                    if left <= 0:
+                        cutoffs[g] = h
+                        break
                 del open_groups[g]
         if open_groups:
             width = {len(p) for p, _ in open_groups.values()}.pop() + _STEP

@@ -129,11 +129,14 @@ def oversample(df: DataFrame, label: str, key: str, strategy="auto", seed: int =
             for c, g in grow.items()
         ],
     ).groupBy(label, "_idx").agg(F.count("*").alias("_times"))
-    rows = dense_index(df, order_hash(seed, key), [label])
+    growing = F.coalesce(F.col(label).isin(list(grow)), F.lit(False))
+    rows = dense_index(df.filter(growing), order_hash(seed, key), [label])
     repeated = rows.join(draws, [label, "_idx"], "left").withColumn(
         "_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_times"), F.lit(0))))
     )
-    return repeated.select(*df.columns, "_copy")
+    # Classes that do not grow stay where they are.
+    others = df.filter(~growing).withColumn("_copy", F.lit(0).cast("bigint"))
+    return others.unionByName(repeated.select(*df.columns, "_copy"))
 
 
 def undersample(df: DataFrame, label: str, key: str, strategy="auto", seed: int = 42) -> DataFrame:
