@@ -19,9 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.files import packed, stored
+from riskloom.llm.files import packed, ready, stored
 from riskloom.llm.words import LOWER, Words, byte_texts, slices
-from riskloom.session import ship
 
 WORDS = 5
 THRESHOLD = 0.75
@@ -145,7 +144,7 @@ def contained_items(
     matter; an empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
-    ship(spark)
+    ready(spark)
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), docs[f"`{text}`"].cast("string").alias("t"))
     schema = "doc_id long, item_id long, n_shared long, n_item long, containment double"
     out = None

@@ -64,12 +64,24 @@ class Reader:
         self._open = {}
 
 
+#: Rows and bytes of one Arrow batch of documents, unless the session says otherwise.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
+def ready(spark: SparkSession) -> None:
+    """Ship the package and bound the batches that tasks get; settings that differ from Spark's defaults stay."""
+    ship(spark)
+    for key, (default, ours) in BATCH.items():
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, ours)
+
+
 def packed(docs: DataFrame, *added: str) -> tuple[list[str], Column]:
     """The columns of a table that an operator passes on, and one struct of them; columns that it adds itself are replaced.
 
     Inside one struct their names can clash with none of the operator's own.
     """
-    ship(docs.sparkSession)
+    ready(docs.sparkSession)
     names = [c for c in docs.columns if c not in added]
     return names, F.struct(*[docs[f"`{c}`"] for c in names])
 
@@ -77,7 +89,7 @@ def packed(docs: DataFrame, *added: str) -> tuple[list[str], Column]:
 def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder (or ``folder``) and read again."""
     spark: SparkSession = df.sparkSession
-    ship(spark)
+    ready(spark)
     path = f"{folder.rstrip('/')}/{name}" if folder else scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

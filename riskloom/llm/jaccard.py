@@ -259,6 +259,7 @@ def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame, order, siz
     rows = ends.join(sets, "key")
 
     def run(table: pa.Table) -> pa.Table:
+        release()
         keys, middle = table.column("key").to_pylist(), table.column("center").to_pylist()
         tokens = [np.frombuffer(x, dtype=np.uint64) for x in table.column("tokens").to_pylist()]
         found: list[tuple[int, int]] = []
@@ -378,6 +379,7 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
 
 def _meet(table: pa.Table, limit: Threshold) -> pa.Table:
     """Of the classes of one shingle, in one pair of blocks, the pairs that meet there first and can be linked."""
+    release()
     column = lambda c: table.column(c).to_numpy()
     key, n, part, place, own = (column(c).astype(np.int64) for c in ("key", "n", "part", "place", "own"))
     here, i, j = table.column("token")[0].as_py(), table.column("i")[0].as_py(), table.column("j")[0].as_py()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.files import packed as packed_row, stored
-from riskloom.llm.words import _BYTE, _POWERS, byte_texts, mix, slices
+from riskloom.llm.words import _BYTE, _POWERS, byte_texts, mix, release, slices
 
 LENGTH = 50
 #: Entries of one segment, which one task sorts (about 40 bytes each).
@@ -197,6 +197,7 @@ def _runs(doc: np.ndarray, h: np.ndarray, start: np.ndarray, count: np.ndarray,
 
 def _rank_anchors(table: pa.Table) -> pa.Table:
     """Of one segment: runs that a smaller document repeats whole, and runs whose rank has several contexts."""
+    release()
     doc, h, rank, context, start, count = _unpack(table)
     if table.column("segment")[0].as_py() < 0:
         return _runs(doc, h, start, count, np.ones(len(doc), bool))
@@ -263,6 +264,7 @@ def _second_round(rows: DataFrame, length: int, segments: int) -> DataFrame:
 
 def _rank_pairs(table: pa.Table) -> pa.Table:
     """Of one segment: the stretches of windows that a smaller document has too."""
+    release()
     kinds = {"ids": np.int64, "hashes": np.int64, "start": "<u4", "count": "u1", "pairs": np.uint64, "checks": "<u4"}
     ids, hashes, start, count, pair, check = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in kinds.items())
     n = count.astype(np.int64)

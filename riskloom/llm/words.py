@@ -24,6 +24,7 @@ try:
     _LIBC.malloc_trim  # noqa: B018
 except (OSError, AttributeError):
     _LIBC = None
+_LEAN: list[bool] = []
 
 _BYTE = np.random.Generator(np.random.PCG64(611953)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -121,15 +122,30 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def lean() -> None:
+    """Let a Python worker give memory back: large blocks are mapped one by one, and Arrow's buffers come from the same place.
+
+    Called once in each worker process, where tasks of many stages follow each other.
+    """
+    if _LIBC is None or _LEAN:
+        return
+    _LEAN.append(True)
+    _LIBC.mallopt(-8, 1)  # M_ARENA_MAX
+    _LIBC.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+    pa.set_cpu_count(1)
+
+
 def release() -> None:
     """Give freed memory back to the system; workers stay for later tasks and would hold it."""
-    pa.default_memory_pool().release_unused()
+    lean()
     if _LIBC is not None:
         _LIBC.malloc_trim(0)
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of about ``most`` text bytes; a longer text is a run of its own."""
+    lean()
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     a, total = 0, 0
     for i, n in enumerate(size):
