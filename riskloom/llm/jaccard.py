@@ -42,7 +42,7 @@ SEGMENT_POSTINGS = 400_000
 #: Shingles of the sets in one trie.
 BLOCK_SHINGLES = 100_000
 #: Rounds of stars, centers per shingle in a round, and centers that one class is compared with in a round.
-STAR_ROUNDS, CENTERS, TRIED = 2, 4, 2
+STAR_ROUNDS, CENTERS, TRIED = 2, 3, 2
 #: Classes from which on a prefix shingle's classes meet in blocks, and classes of one block.
 HOT, BLOCK_CLASSES = 16, 256
 #: Document ids that may be broadcast (8 bytes each); beyond, the join shuffles.
@@ -418,10 +418,11 @@ def _stars(postings: DataFrame, limit: Threshold, turn: int) -> DataFrame:
     The centers of a shingle are those of its classes with the least hashes under ``CENTERS`` seeds, so classes with many common
     shingles mostly meet the same centers. The pairs are linear in the classes; a link that they miss is found among what is left.
     """
-    center = [F.col("key").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")]
-    least = [F.min(F.struct(F.xxhash64("key", F.lit(turn * CENTERS + k)).alias("order"), F.struct(*center).alias("c"))) for k in range(CENTERS)]
-    centers = postings.groupBy("token").agg(F.array(*least).alias("c"))
-    centers = centers.select("token", F.explode(F.array_distinct(F.transform("c", lambda x: x["c"]))).alias("c")).select("token", "c.*")
+    center = [F.col("key").alias("a"), F.col("n").cast("int").alias("na"), F.col("part").alias("pa")]
+    least = [F.min(F.struct(F.xxhash64("key", F.lit(turn * CENTERS + k)).alias("order"), *center)).alias(f"c{k}") for k in range(CENTERS)]
+    centers = postings.groupBy("token").agg(*least)
+    plain = F.array(*[F.struct(*[F.col(f"c{k}.{f}").alias(f) for f in ("a", "na", "pa")]) for k in range(CENTERS)])
+    centers = centers.select("token", F.explode(F.array_distinct(plain)).alias("c")).select("token", "c.a", F.col("c.na").cast("long").alias("na"), "c.pa")
     met = postings.join(centers, "token").where((F.col("pa") != F.col("part")) & limit.near("na", "n"))
     counted = met.groupBy("a", F.col("key").alias("b"), "na", F.col("n").alias("nb")).agg(F.count("*").alias("common")).where(limit.enough("common", "na", "nb"))
     best = Window.partitionBy("b").orderBy(F.desc("common"), "a")
