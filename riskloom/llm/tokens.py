@@ -90,11 +90,13 @@ class Encoder:
         """Ids of new chunks.
 
         Marks behind a letter or digit are a chunk of their own, since no piece holds both. Words of a-z pass the normalizer and the
-        splitting steps as they are, so their ids come from the library's merge model alone.
+        splitting steps as they are, so their ids come from the library's merge model alone. A chunk with an added token, which holds
+        both and skips the model, is encoded whole by the library.
         """
         known, tails = self.known, {}
+        whole = {c for c in chunks if any(m in c.translate(LOWER) for m in self.marks)}
         for c in chunks:
-            if not c.isalpha():
+            if not c.isalpha() and c not in whole:
                 found = _TAIL.search(c)
                 if found and found.start() and c[: found.start()].decode().lower()[-1].isalnum():
                     tails[c] = (c[: found.start()], found[0])
@@ -103,7 +105,7 @@ class Encoder:
         for c in new:
             if c in known:
                 continue
-            if c.isalpha() and c.islower():
+            if c.isalpha() and c.islower() and c not in whole:
                 known[c] = array.array("I", [x.id for x in word(c.decode())]).tobytes()
             else:
                 rest.append(c)

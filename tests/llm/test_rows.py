@@ -104,6 +104,14 @@ def test_chunked_ids_equal_the_library(texts):
     assert [np.frombuffer(x, np.uintc).tolist() for x in tool.encode([t.encode() for t in texts])] == want
 
 
+def test_added_tokens_stay_whole():
+    tool = tokens.encoder(PATH, 1)
+    texts = ["<|endoftext|>", "a <|endoftext|>, b", "x<|startoftext|>", "<|endoftext|>,", "<|endoftext|>.<|startoftext|>", "b<|ENDOFTEXT|>.", "c<|endoftext|", "endoftext|>"]
+    want = [x.ids + [1] for x in tool.tool.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, np.uintc).tolist() for x in tool.encode([t.encode() for t in texts])] == want
+    assert want[0] == [49407, 1] and want[2] == [343, 49406, 1]
+
+
 @pytest.mark.parametrize("vocabulary", [49_408, 100_000])
 def test_token_files_equal_the_library(spark, docs, rows, empty, vocabulary, monkeypatch):
     monkeypatch.setattr(tokens, "BLOCK_IDS", 1000)
