@@ -30,8 +30,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that source, language and topic reach their target shares of tokens."""
-    return mixing.mix_sources(docs.select(*COLUMNS)).where("_sampled").select(*COLUMNS)
+    """Documents drawn so that source, language and topic reach their target shares of tokens, a stated share of all tokens."""
+    return mixing.mix_sources(docs.select(*COLUMNS), keep=mixing.KEEP).where("_sampled").select(*COLUMNS)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The tokens of every (source, language, topic) cell are raked in turn to the target share of each source, language and topic until
 all three agree. A cell's factor is its raked share over its own; documents are then sampled by a seeded hash of their id
-with probability proportional to the factor, the largest being one, so no document is needed twice.
+with probability proportional to the factor, so no document is needed twice. Either the largest probability is one, or a share of the
+tokens to keep is given: then it sets the scale, and cells whose factor is too large for it are kept whole and reported as clipped.
 
 Documents are read twice, once to sum cells (a partial sum, so a hot source is one row per task) and once to draw; neither
 pass moves a text. The cells are as many as combinations of the three columns occur; they rake in one partition, without a shuffle.
@@ -19,6 +20,8 @@ from riskloom.llm.files import packed, stored
 AXES = ("source", "lang", "topic")
 #: A target share is the observed token share to this power, made to sum to one; 1 keeps the share, 0 makes all equal.
 TEMPER: Mapping[str, float] = {"source": 0.5, "lang": 0.7, "topic": 1.0}
+#: Share of the tokens that the pipeline keeps.
+KEEP = 0.65
 ROUNDS = 30
 #: Rounds between two writings of the cells, which keeps the plan short.
 ROUNDS_PER_JOB = 10
@@ -78,11 +81,34 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return now
 
 
+def scaled(cells: DataFrame, keep: float | None) -> DataFrame:
+    """``cells`` (``tokens`` and raked ``weight``) with the ``chance`` of each and whether it is ``clipped``.
+
+    With ``keep`` the chances are min(1, scale * factor) with the scale at which they keep that share of all tokens on average; a rare
+    cell of a large factor is clipped at one and hardly moves the others. Without, the largest factor of all cells gets one and none is clipped.
+    """
+    every = Window.partitionBy()
+    out = cells.withColumn("_factor", F.col("weight") / F.col("tokens"))
+    if keep is None:
+        return out.withColumn("chance", F.col("_factor") / F.max("_factor").over(every)).withColumn("clipped", F.lit(False)).drop("_factor")
+    # Tokens kept at the scale that just brings a cell to one: those of cells with factors as large, and of the others in proportion.
+    above = Window.partitionBy().orderBy(F.desc("_factor")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    below = F.sum("weight").over(every) - F.sum("weight").over(above)
+    budget = F.lit(float(keep)) * F.sum("tokens").over(every)
+    out = out.withColumn("clipped", F.sum("tokens").over(above) + below / F.col("_factor") <= budget)
+    rest = budget - F.sum(F.when(F.col("clipped"), F.col("tokens")).otherwise(0)).over(every)
+    scale = rest / F.sum(F.when(~F.col("clipped"), F.col("weight"))).over(every)
+    chance = F.when(F.col("clipped"), F.lit(1.0)).otherwise(F.least(F.lit(1.0), scale * F.col("_factor")))
+    return out.withColumn("chance", chance).drop("_factor")
+
+
 def mix_sources(
     docs: DataFrame, temper: Mapping[str, float] = TEMPER, rounds: int = ROUNDS, seed: int = SEED, doc_id: str = "doc_id", text: str = "text",
-    source: str = "source", lang: str = "lang",
+    source: str = "source", lang: str = "lang", keep: float | None = None,
 ) -> DataFrame:
-    """``docs`` with ``_topic``, ``_tokens``, ``_weight`` (raked share of the cell), ``_chance`` and ``_sampled``.
+    """``docs`` with ``_topic``, ``_tokens``, ``_weight`` (raked share of the cell), ``_chance``, ``_clipped`` and ``_sampled``.
+
+    ``keep`` is the share of all tokens to keep on average (see :func:`scaled`); without it the cell of the largest factor is kept whole.
 
     A null source or language is a value of its own, written as the empty string in the cells. A text without words has no tokens and no
     cell: its chance is zero. Rows with equal ids are drawn alike; rows with a null id are drawn by their text. Chances are rounded to
@@ -90,19 +116,18 @@ def mix_sources(
     """
     value = docs[f"`{text}`"].cast("string")
     key = F.coalesce(docs[f"`{doc_id}`"].cast("string"), F.md5(F.coalesce(value, F.lit(""))))
-    names, row = packed(docs, "_topic", "_tokens", "_weight", "_chance", "_sampled")
+    names, row = packed(docs, "_topic", "_tokens", "_weight", "_chance", "_clipped", "_sampled")
     rows = docs.select(
         row.alias("_row"), topic(value).alias("topic"), n_tokens(value).alias("tokens"),
         *[F.coalesce(docs[f"`{c}`"].cast("string"), F.lit("")).alias(a) for c, a in ((source, "source"), (lang, "lang"))], unit(seed, key).alias("_unit"),
     )
     cells = rows.where("tokens > 0").groupBy(*AXES).agg(F.sum("tokens").alias("tokens"))
-    raked = rake(targets(stored(cells, "cells").coalesce(1), temper), rounds)
-    factor = F.col("weight") / F.col("tokens")
-    chance = F.round(factor / F.max(factor).over(Window.partitionBy()), DIGITS)
-    table = stored(raked.select(*AXES, F.round("weight", DIGITS).alias("_weight"), chance.alias("_chance")), "chances")
+    raked = scaled(rake(targets(stored(cells, "cells").coalesce(1), temper), rounds), keep)
+    table = stored(raked.select(*AXES, F.round("weight", DIGITS).alias("_weight"), F.round("chance", DIGITS).alias("_chance"), F.col("clipped").alias("_clipped")), "chances")
     few = F.broadcast(table) if table.count() <= 100_000 else table
     out = rows.join(few, list(AXES), "left").withColumn("_chance", F.when(F.col("tokens") > 0, F.col("_chance")).otherwise(F.lit(0.0)))
     return out.select(
         *[F.col("_row").getField(c).alias(c) for c in names], F.col("topic").alias("_topic"), F.col("tokens").alias("_tokens"),
-        F.when(F.col("tokens") > 0, F.col("_weight")).otherwise(F.lit(0.0)).alias("_weight"), "_chance", (F.col("_unit") < F.col("_chance")).alias("_sampled"),
+        F.when(F.col("tokens") > 0, F.col("_weight")).otherwise(F.lit(0.0)).alias("_weight"), "_chance",
+        F.coalesce("_clipped", F.lit(False)).alias("_clipped"), (F.col("_unit") < F.col("_chance")).alias("_sampled"),
     )

@@ -261,6 +261,18 @@ def test_mixing_samples_near_the_targets(spark):
             assert n / len(drawn) == pytest.approx(power[v] / sum(power.values()), abs=0.03)
 
 
+def test_a_rare_document_hardly_moves_the_kept_share(spark):
+    rng = random.Random(12)
+    rows = [(k, cases.sentence(rng, 20), rng.choice(["en", "en", "en", "fr"]), rng.choice("abc"), 0) for k in range(8000)]
+    frames = [spark.createDataFrame(r, "doc_id long, text string, lang string, source string, n_chars long") for r in (rows, [*rows, (8000, cases.sentence(rng, 20), "en", "rare", 0)])]
+    shares = [corpus_pipeline.mixing_stage(spark, f, "").count() / f.count() for f in frames]
+    assert shares == [pytest.approx(mixing.KEEP, abs=0.02)] * 2 and abs(shares[0] - shares[1]) < 0.005
+    got = mixing.mix_sources(frames[1], keep=mixing.KEEP).collect()
+    assert [r["source"] for r in got if r["_clipped"]] == ["rare"] and all(r["_chance"] == 1.0 for r in got if r["_clipped"])
+    assert sum(r["_chance"] * r["_tokens"] for r in got) == pytest.approx(mixing.KEEP * sum(r["_tokens"] for r in got), rel=1e-6)
+    assert {r["_chance"] for r in mixing.mix_sources(frames[1], keep=1.0).select("_chance").distinct().collect()} == {1.0}
+
+
 # ---- WARC
 
 
