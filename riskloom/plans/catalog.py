@@ -199,13 +199,13 @@ def impute_knn(spark, sf):
 
 def impute_iterative_rf(spark, sf):
     i = views.items(spark, sf).select(*views.ITEM_KEYS, "l_discount", "l_tax")
-    state = impute.fit_impute(i, "missforest", views.ITEM_KEYS, n_estimators=10, max_iter=5, max_depth=12)
+    state = impute.fit_impute(i, "missforest", views.ITEM_KEYS, n_estimators=30, max_iter=5)
     return impute.apply_impute(i, state, views.ITEM_KEYS)
 
 
 def impute_missforest_mixed(spark, sf):
     a = views.apps(spark, sf).select("ID", "o_totalprice", "c_acctbal", *CATS)
-    return iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=10, max_iter=3, max_depth=12)
+    return iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=30, max_iter=5)
 
 
 def _cells_checked(filled, cols, keys):
@@ -224,7 +224,7 @@ def impute_iterative_rf_cells(spark, sf):
     cols = ["l_discount", "l_tax"]
     i = views.items(spark, sf).select(*views.ITEM_KEYS, *cols, *[F.col(c).alias(f"_was_{c}") for c in cols])
     skip = [*views.ITEM_KEYS, *[f"_was_{c}" for c in cols]]
-    state = impute.fit_impute(i, "missforest", skip, n_estimators=10, max_iter=5, max_depth=12)
+    state = impute.fit_impute(i, "missforest", skip, n_estimators=30, max_iter=5)
     return _cells_checked(impute.apply_impute(i, state, skip), cols, views.ITEM_KEYS)
 
 
@@ -232,7 +232,7 @@ def impute_missforest_mixed_cells(spark, sf):
     cols = ["o_totalprice", "c_acctbal", "c_mktsegment", "o_orderstatus"]
     a = views.apps(spark, sf).select("ID", *cols, *[F.col(c).alias(f"_was_{c}") for c in cols])
     return _cells_checked(
-        iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=10, max_iter=3, max_depth=12), cols, ["ID"])
+        iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=30, max_iter=5), cols, ["ID"])
 
 
 def impute_final_sweep(spark, sf):

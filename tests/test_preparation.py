@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import encode, impute, isolation, iterative, outliers, scale, schema, split, text
+from riskloom.plans import catalog
 from riskloom.session import scratch_path
 from riskloom.sources import sinks, tables, views
 
@@ -216,3 +217,20 @@ def test_mixed_forest_fills_labels(spark, sf):
     known = {r[0] for r in a.select("c_mktsegment").distinct().collect() if r[0]}
     assert {r[0] for r in out.select("c_mktsegment").distinct().collect()} <= known
     assert out.filter("c_acctbal is null").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["impute_iterative_rf", "impute_iterative_rf_cells", "impute_missforest_mixed", "impute_missforest_mixed_cells"])
+def test_imputation_queries_grow_whole_forests(spark, sf, name, monkeypatch):
+    given = []
+
+    class Stop(Exception):
+        pass
+
+    def fit(df, columns, **params):
+        given.append(params)
+        raise Stop
+
+    monkeypatch.setattr(iterative, "fit_forests", fit)
+    with pytest.raises(Stop):
+        catalog.queries()[name](spark, sf)
+    assert given[0].get("max_depth") is None and given[0]["n_estimators"] >= 30 and given[0]["max_iter"] >= 5
