@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, lines, mixing, quality, secrets, shards, sql, substrings, tokens, warc
+from riskloom.llm import decontaminate, jaccard, lines, merkle, mixing, quality, secrets, shards, sql, substrings, tokens, warc
 from riskloom.session import scratch_path
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
@@ -79,6 +80,16 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lowered).otherwise(F.col("text"))
+    presented = [tampered if c == "text" else F.col(c) for c in merkle.FIELDS]
+    found = merkle.prove(merkle.build(docs, claim=presented))
+    return found.select(
+        F.col("k").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -91,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 

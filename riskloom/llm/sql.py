@@ -99,4 +99,56 @@ mixed AS (SELECT mx.*, CASE WHEN n_tokens > 0 THEN cell_weight ELSE 0 END AS cel
 
 MIXING = f"WITH RECURSIVE {mixing()} SELECT doc_id, source, lang, topic, n_tokens, cell_weight, chance, sampled FROM mixed"
 
-ORACLES = {"op8_mixing": MIXING, "op9_warc": WARC, "op5_line_dedup": LINES, "op7_quality_rules": QUALITY, "op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD}
+#: The 256 remainders of the cyclic redundancy check, made by its rule.
+_REMAINDERS = (
+    "SELECT list_transform(range(256), lambda b: list_reduce([b] || [0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tbl")
+
+
+def crc32(codes: str) -> str:
+    """Unsigned CRC-32 of a list of byte values, where ``tbl`` holds the remainders."""
+    return f"xor(4294967295, list_reduce([4294967295] || {codes}, lambda a, b: xor(a >> 8, tbl[(xor(a, b) & 255) + 1])))"
+
+
+_FIELD = "CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+def merkle(table: str = "documents") -> str:
+    """Leaves, subroots, root and folded proofs of a table; trees are grown and proofs folded level by level."""
+    head = " || ".join(_FIELD.format(c=c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = _LOWER.format(t="text")
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+{name}(k, s, r, n, digest) AS (SELECT 0, s, r, n, digest FROM {leaves} UNION ALL
+  SELECT k + 1, s, r // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY r)) FROM {name} WHERE n > 1 GROUP BY k, s, r // 16, n),
+{name}_p AS (SELECT k, s, r, n, digest, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+  coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+  FROM {name} WINDOW w AS (PARTITION BY k, s, r // 16 ORDER BY r))"""
+
+    def fold(name: str, nodes: str, begin: str) -> str:
+        return f"""
+{name}(x, s, r, k, acc, proof) AS ({begin} UNION ALL
+  SELECT x, f.s, f.r // 16, f.k + 1, sha256(lft || acc || rgt), proof || lft || rgt FROM {name} f JOIN {nodes} p ON p.k = f.k AND p.s = f.s AND p.r = f.r WHERE p.n > 1)"""
+
+    return f"""
+WITH RECURSIVE c AS ({_REMAINDERS}),
+d AS (SELECT doc_id, source, sha256({head} || {_FIELD.format(c='text')}) AS digest, sha256({head} || {_FIELD.format(c=low)}) AS lowered,
+  {crc32("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 5 = 0 AS tampered FROM {table}, c),
+l AS (SELECT *, row_number() OVER () AS x, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d),
+{tree('low', 'l')},
+g AS (SELECT 0 AS s, s AS r, count(*) OVER () AS n, digest FROM low WHERE n = 1),
+{tree('high', 'g')},
+{fold('up', 'low_p', "SELECT x, s, r, 0, CASE WHEN tampered THEN lowered ELSE digest END, '' FROM l")},
+sub AS (SELECT up.* FROM up JOIN low ON low.k = up.k AND low.s = up.s AND low.r = up.r WHERE low.n = 1),
+{fold('on_top', 'high_p', "SELECT x, 0, s, 0, acc, proof FROM sub")},
+e AS (SELECT o.* FROM on_top o JOIN high ON high.k = o.k AND high.r = o.r WHERE high.n = 1)
+SELECT doc_id, l.digest AS leaf, g.digest AS subroot, high.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = high.digest AS verified
+FROM l JOIN e USING (x) JOIN g ON g.r = l.s JOIN high ON high.n = 1"""
+
+
+MERKLE = merkle()
+
+ORACLES = {"op8_mixing": MIXING, "op9_warc": WARC, "op5_line_dedup": LINES, "op7_quality_rules": QUALITY, "op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD,
+           "op13_merkle_manifest": MERKLE}
