@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, lines, merkle, mixing, quality, secrets, shards, sql, substrings, tokens, warc
+from riskloom.llm import decontaminate, jaccard, lines, merkle, mixing, quality, secrets, shards, spelling, sql, substrings, tokens, warc
 from riskloom.session import scratch_path
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
@@ -80,6 +80,10 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variant_groups(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -102,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_spelling_variants": op11_spelling_variants,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 

@@ -150,5 +150,28 @@ FROM l JOIN e USING (x) JOIN g ON g.r = l.s JOIN high ON high.n = 1"""
 
 MERKLE = merkle()
 
+def spelling(table: str = "documents", min_chars: int = 6, min_count: int = 5, ratio: int = 5, slip: int = 199) -> str:
+    """Words, their near words by shared deletions, forms and roots."""
+    h = crc32("list_transform(range(1, strlen(t) + 1), lambda k: ('0x' || substr(hex(t), 2 * k - 1, 2))::BIGINT)")
+    return f"""
+WITH RECURSIVE c AS ({_REMAINDERS}),
+r AS (SELECT coalesce(doc_id::VARCHAR, '') AS i, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM {table}),
+k AS (SELECT i, {_LOWER.format(t="run")} AS run, count(*) AS n FROM r GROUP BY ALL),
+b AS (SELECT i || ':' || run AS t, run, n FROM k WHERE length(run) >= {min_chars}),
+o AS (SELECT run, n, {h} AS h FROM b, c),
+v AS (SELECT CASE WHEN h % {slip} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM o),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM v WHERE length(word) >= {min_chars} GROUP BY word HAVING sum(n) >= {min_count}),
+e AS (SELECT word, n, p, left(word, p) || substr(word, p + 2) AS rest FROM (SELECT *, unnest(range(length(word))) AS p FROM w)),
+x AS (SELECT a.word, a.n, z.word AS other, z.n AS other_n FROM e a JOIN e z ON a.p = z.p AND a.rest = z.rest AND a.word <> z.word
+  UNION SELECT e.word, e.n, w.word, w.n FROM e JOIN w ON w.word = e.rest UNION SELECT w.word, w.n, e.word, e.n FROM e JOIN w ON w.word = e.rest),
+g AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM x GROUP BY word),
+f AS (SELECT x.word, min(other) AS form, any_value(other_n) AS form_n FROM x JOIN g ON g.word = x.word AND x.other_n = g.top WHERE top >= {ratio} * n GROUP BY x.word),
+way(word, root) AS (SELECT word, word FROM w UNION ALL SELECT way.word, form FROM way JOIN f ON f.word = way.root)
+SELECT w.word, f.form, way.root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM w LEFT JOIN g USING (word) LEFT JOIN f USING (word) JOIN way USING (word) WHERE way.root NOT IN (SELECT word FROM f)"""
+
+
+SPELLING = spelling()
+
 ORACLES = {"op8_mixing": MIXING, "op9_warc": WARC, "op5_line_dedup": LINES, "op7_quality_rules": QUALITY, "op2_decontamination": CONTAINED, "op10_jaccard_join": JACCARD,
-           "op13_merkle_manifest": MERKLE}
+           "op11_spelling_variants": SPELLING, "op13_merkle_manifest": MERKLE}
