@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, jaccard, lines, merkle, mixing, quality, secrets, shards, spelling, sql, substrings, tokens, warc
+from riskloom.llm import decontaminate, forest, jaccard, lines, merkle, mixing, quality, secrets, shards, spelling, sql, substrings, tokens, warc
 from riskloom.session import scratch_path
 
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
@@ -84,6 +84,10 @@ def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variant_groups(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return forest.nearest(_table(spark, sf, "embeddings").select("vec_id", "embedding"), every=50)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -107,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_nearest_neighbours": op12_nearest_neighbours,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
