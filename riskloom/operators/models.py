@@ -1,19 +1,18 @@
-"""Classifiers on Spark ML (and the data-parallel network of neural.py) behind one fit/score pair."""
+"""Classifiers behind one fit/score pair: Spark ML's logistic model, the network of neural.py, the trees of trees.py and boosting.py."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from riskloom.operators import neural
+from riskloom.operators import boosting, neural, trees
 
 KINDS = ("logistic_regression", "random_forest", "gradient_boosting", "neural_network")
-DEEPEST = 30
 
 
 @dataclass
@@ -24,6 +23,8 @@ class FittedModel:
     params: dict
     parts: list = field(default_factory=list)
     network: neural.Network | None = None
+    forest: trees.Forest | None = None
+    boosted: boosting.Boosted | None = None
     history: list[dict] = field(default_factory=list)
 
 
@@ -68,31 +69,29 @@ def fit_model(
         check_features(train, features)
         model.network, model.history = neural.fit_network(train, features, label, k, params, seed, key)
         return model
-    data = assembled(train, features)
     if kind == "logistic_regression":
-        model.parts = [_logistic(data, label, counts, n, params)]
-    elif kind == "random_forest":
-        depth = params.get("max_depth")
-        forest = RandomForestClassifier(
-            featuresCol="_features", labelCol=label, numTrees=int(params.get("n_estimators", 100)),
-            maxDepth=DEEPEST if depth is None else int(depth), maxBins=64,
-            minInstancesPerNode=max(int(params.get("min_samples_leaf", 1)), int(params.get("min_samples_split", 2)) // 2),
-            featureSubsetStrategy="sqrt", seed=seed,
-        )
-        model.parts = [forest.fit(data)]
+        model.parts = [_logistic(assembled(train, features), label, counts, n, params)]
+        return model
+    rows = _tree_rows(train, features, label, key)
+    depth, leaf, least = params.get("max_depth", None if kind == "random_forest" else 3), int(params.get("min_samples_leaf", 1)), int(params.get("min_samples_split", 2))
+    depth = None if depth is None else int(depth)
+    if kind == "random_forest":
+        rules = trees.Rules(k, depth, least, leaf, trees.tried_of(params.get("max_features", "sqrt"), len(features)), bool(params.get("bootstrap", True)), seed)
+        model.forest = trees.fit_forest(rows, len(features), rules, int(params.get("n_estimators", 100)))
     else:
-        for c in range(1, 2) if k == 2 else range(k):
-            part = data.withColumn("_one", (F.col(label) == c).cast("double"))
-            model.parts.append(
-                GBTClassifier(
-                    featuresCol="_features", labelCol="_one", maxIter=int(params.get("n_estimators", 100)),
-                    stepSize=float(params.get("learning_rate", 0.1)), maxDepth=int(params.get("max_depth", 3)),
-                    subsamplingRate=float(params.get("subsample", 1.0)), maxBins=64, seed=seed,
-                ).fit(part)
-            )
+        model.boosted = boosting.fit_boosted(
+            rows, len(features), k, counts, int(params.get("n_estimators", 100)), float(params.get("learning_rate", 0.1)), depth, least, leaf, float(params.get("subsample", 1.0)), seed)
     return model
 
 
+def _tree_rows(train: DataFrame, features: Sequence[str], label: str, key: str | None) -> DataFrame:
+    """(h, m, x, y): rows named by their key, or by their content, where copies of a row share their fate."""
+    check_features(train, features)
+    cells = [F.col(f"`{c}`").cast("double") for c in features]
+    named = F.xxhash64(F.col(key)) if key else F.xxhash64(*cells, F.col(label))
+    return train.select(named.alias("h"), F.lit(1).alias("m"), F.array(*cells).alias("x"), F.col(label).cast("double").alias("y"))
+
+
 def _logistic(data: DataFrame, label: str, counts: dict, n: int, params: dict):
     """Spark minimises mean loss, so the penalty weight is 1 / (C n)."""
     combo = {**params, **(params.get("solver_penalty_config") or {})}
@@ -116,20 +115,15 @@ def score(df: DataFrame, model: FittedModel) -> DataFrame:
         check_features(df, model.features)
         probs = neural.predict(df, model.network, model.features)
         return df.withColumn("probabilities", probs).withColumn("prediction", _arg_max("probabilities", model.classes))
-    out = assembled(df, model.features)
-    if len(model.parts) == 1:
-        fitted = model.parts[0]
-        fitted = fitted.copy({fitted.probabilityCol: "_probability", fitted.rawPredictionCol: "_raw", fitted.predictionCol: "_prediction"})
-        done = fitted.transform(out).withColumn("probabilities", vector_to_array("_probability"))
-        return done.withColumn("prediction", F.col("_prediction").cast("int")).drop("_features", "_raw", "_probability", "_prediction")
-    for i, part in enumerate(model.parts):
-        one = part.copy({part.probabilityCol: "_probability", part.rawPredictionCol: "_raw", part.predictionCol: "_prediction"})
-        out = one.transform(out).withColumn(f"_p{i}", vector_to_array("_probability")[1]).drop("_raw", "_probability", "_prediction")
-    names = [f"_p{i}" for i in range(len(model.parts))]
-    total = sum((F.col(c) for c in names[1:]), F.col(names[0]))
-    probs = F.array(*[F.when(total > 0, F.col(c) / total).otherwise(F.lit(1.0 / len(names))) for c in names])
-    done = out.withColumn("probabilities", probs).drop("_features", *names)
-    return done.withColumn("prediction", _arg_max("probabilities", model.classes))
+    if model.kind in ("random_forest", "gradient_boosting"):
+        check_features(df, model.features)
+        forest = model.kind == "random_forest"
+        done = trees.predict(df, model.forest, model.features, "probabilities") if forest else boosting.predict(df, model.boosted, model.features, "probabilities")
+        return done.withColumn("prediction", _arg_max("probabilities", model.classes))
+    fitted = model.parts[0]
+    fitted = fitted.copy({fitted.probabilityCol: "_probability", fitted.rawPredictionCol: "_raw", fitted.predictionCol: "_prediction"})
+    done = fitted.transform(assembled(df, model.features)).withColumn("probabilities", vector_to_array("_probability"))
+    return done.withColumn("prediction", F.col("_prediction").cast("int")).drop("_features", "_raw", "_probability", "_prediction")
 
 
 def _arg_max(col: str, classes: int):
@@ -146,7 +140,7 @@ def feature_importance(df: DataFrame, model: FittedModel) -> DataFrame | None:
         matrix = model.parts[0].coefficientMatrix.toArray()
         values = matrix[0] if matrix.shape[0] == 1 else abs(matrix).mean(axis=0)
     else:
-        values = sum(p.featureImportances.toArray() for p in model.parts) / len(model.parts)
+        values = model.forest.importance if model.kind == "random_forest" else model.boosted.importance
     rows = [(f, float(v)) for f, v in zip(model.features, values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
     rank = F.abs("importance") if model.kind == "logistic_regression" else F.col("importance")

@@ -235,6 +235,14 @@ def impute_missforest_mixed_cells(spark, sf):
         iterative.impute_mixed(a, a, ["c_mktsegment", "o_orderstatus"], ["o_totalprice", "c_acctbal"], n_estimators=30, max_iter=5), cols, ["ID"])
 
 
+def impute_forest_stump(spark, sf):
+    """One round of one-split trees on all rows: small enough for SQL to find the same splits and fills."""
+    cols = ["l_discount", "l_tax"]
+    i = views.items(spark, sf).select(*views.ITEM_KEYS, *cols)
+    state = iterative.fit_forests(i, cols, n_estimators=1, max_iter=1, max_depth=1, bootstrap=False)
+    return iterative.apply_forests(i, state).select(*views.ITEM_KEYS, r6("l_discount"), r6("l_tax"))
+
+
 def impute_final_sweep(spark, sf):
     return impute.final_sweep(views.apps(spark, sf).select("ID", "c_acctbal", "c_mktsegment"))
 
@@ -419,10 +427,30 @@ def model_gradient_boosting(spark, sf):
 
 def model_gradient_boosting_multiclass(spark, sf):
     a = views.apps(spark, sf).select("ID", "o_totalprice", "c_acctbal", "c_mktsegment", "o_orderpriority", "o_orderstatus")
-    cfg = {**FLAGSHIP, "model": {"method": "gradient_boosting", "params": {"n_estimators": 5}}}
+    cfg = {**FLAGSHIP, "model": {"method": "gradient_boosting", "params": {"n_estimators": 25}}}
     return fit.fit_config(a, "o_orderstatus", cfg, ["ID"]).score(a)
 
 
+def _money(spark, sf, target):
+    """Two numeric features without gaps, and a target."""
+    return hold(views.apps(spark, sf).select("ID", "o_totalprice", F.coalesce("c_acctbal", F.lit(0.0)).alias("c_acctbal"), target.alias("y")))
+
+
+def random_forest_tree(spark, sf):
+    """One tree on all rows with two levels and a least node size: SQL finds the same splits."""
+    a = _money(spark, sf, F.col("label"))
+    params = {"n_estimators": 1, "max_depth": 2, "min_samples_leaf": 20, "min_samples_split": 100, "max_features": None, "bootstrap": False}
+    m = models.fit_model(a, "random_forest", ["o_totalprice", "c_acctbal"], "y", params, 42, "ID")
+    return models.score(a, m).select("ID", F.round(F.col("probabilities")[1], 6).alias("p"))
+
+
+def gradient_boosting_round(spark, sf):
+    """One round of one-split trees for three classes: shared softmax residuals and Newton leaves."""
+    a = _money(spark, sf, F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2))
+    m = models.fit_model(a, "gradient_boosting", ["o_totalprice", "c_acctbal"], "y", {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.5}, 42, "ID")
+    return models.score(a, m).select("ID", *[F.round(F.col("probabilities")[k], 6).alias(f"p{k}") for k in range(3)])
+
+
 def model_neural_network(spark, sf):
     return _app_model(spark, sf, "neural_network", {"hidden_layer_sizes": (64, 32), "dropout_rate": 0.2, "learning_rate": 0.005, "batch_size": 64, "epochs": 10}).score(views.apps(spark, sf))
 
@@ -643,12 +671,12 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     drop_columns, drop_duplicate_columns, target_coerce, target_label_encode, align_features, alignment_report,
     missing_summary, numeric_stats, target_distribution, target_correlations,
     impute_mode, impute_categorical, impute_median, impute_median_stateful, impute_knn, impute_iterative_rf,
-    impute_iterative_rf_cells, impute_missforest_mixed, impute_missforest_mixed_cells, impute_final_sweep, outlier_iqr, outlier_iforest,
+    impute_iterative_rf_cells, impute_missforest_mixed, impute_missforest_mixed_cells, impute_forest_stump, impute_final_sweep, outlier_iqr, outlier_iforest,
     encode_onehot, encode_onehot_drop_first, encode_label, encode_ordinal, rows_to_text, encode_tfidf, encode_lsa, encode_lsa_cosines, encode_word2vec,
     encode_row_embedding, encode_row_fasttext, encode_leave_one_out,
     class_targets, resample_oversample, resample_undersample, resample_smote, resample_adasyn,
     scale_standard, scale_minmax, scale_test, scale_on_score,
-    model_logreg, model_logreg_multiclass, model_random_forest, model_gradient_boosting, model_gradient_boosting_multiclass,
+    model_logreg, model_logreg_multiclass, model_random_forest, model_gradient_boosting, model_gradient_boosting_multiclass, random_forest_tree, gradient_boosting_round,
     model_neural_network, feature_importance, score,
     metric_accuracy, metric_f1, metric_precision_recall, metric_roc_auc, metric_auprc, metric_multiclass, classification_report,
     learning_curve, training_history,

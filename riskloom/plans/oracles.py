@@ -156,6 +156,58 @@ d AS (SELECT c, n, unnest(range(g)) AS j FROM g),
 spot AS (SELECT {key}, {label} AS c, row_number() OVER (PARTITION BY {label} ORDER BY md5('42:' || {key})) - 1 AS pos FROM {table})"""
 
 
+def _split(name: str, rows: str, features: list[str], sums: list[str], leaf: int, least: int = 2) -> str:
+    """CTE ``name(node, j, cut)``: for each node of ``rows`` the cut that lowers the squared error (or Gini impurity) of the sums most."""
+    cells = " UNION ALL ".join(f"SELECT node, {j} AS j, {x} AS x, {', '.join(f'{y} AS s{k}' for k, y in enumerate(sums))} FROM {rows}" for j, x in enumerate(features))
+    total = ", ".join(f"sum(s{k}) AS s{k}" for k in range(len(sums)))
+    run = ", ".join(f"sum(s{k}) OVER (PARTITION BY node, j ORDER BY x) AS l{k}, sum(s{k}) OVER (PARTITION BY node, j) AS t{k}" for k in range(len(sums)))
+    gain = " + ".join(f"pow(l{k} - nl * t{k} / nt, 2)" for k in range(len(sums)))
+    return f"""
+{name}_v AS (SELECT node, j, x, count(*)::DOUBLE AS n, {total} FROM ({cells}) GROUP BY node, j, x),
+{name}_c AS (SELECT node, j, x, lead(x) OVER (PARTITION BY node, j ORDER BY x) AS above, sum(n) OVER (PARTITION BY node, j ORDER BY x) AS nl,
+  sum(n) OVER (PARTITION BY node, j) AS nt, {run} FROM {name}_v),
+{name}_g AS (SELECT node, j, x + (above - x) / 2 AS cut, ({gain}) * nt / (nl * (nt - nl)) AS gain FROM {name}_c
+  WHERE above IS NOT NULL AND nl >= {leaf} AND nt - nl >= {leaf} AND nt >= {max(least, 2 * leaf)}),
+{name} AS (SELECT node, arg_min(j, k) AS j, arg_min(cut, k) AS cut FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, j, cut) AS k FROM {name}_g) WHERE k = 1 GROUP BY node)"""
+
+
+def _stump_fill(table: str, target: str, by: str, name: str) -> str:
+    """CTE ``name``: ``table`` with the holes of ``target`` filled by one split of ``by``; h_ columns flag holes."""
+    return f"""
+{name}_r AS (SELECT 0 AS node, {by} AS x, {target} AS y FROM {table} WHERE NOT h_{target}),
+{_split(f"{name}_s", f"{name}_r", ["x"], ["y"], 1)},
+{name}_m AS (SELECT x > cut AS side, avg(y) AS fill FROM {name}_r, {name}_s GROUP BY 1),
+{name} AS (SELECT t.* REPLACE (CASE WHEN h_{target} THEN fill ELSE {target} END AS {target}) FROM {table} t, {name}_s s JOIN {name}_m m ON m.side = (t.{by} > s.cut))"""
+
+
+_STUMP = f"""start AS (SELECT {KEYS}, coalesce(l_discount, avg(l_discount) OVER ()) AS l_discount, coalesce(l_tax, avg(l_tax) OVER ()) AS l_tax,
+  l_discount IS NULL AS h_l_discount, l_tax IS NULL AS h_l_tax, count(l_discount) OVER () >= count(l_tax) OVER () AS discount_first FROM items),
+{_stump_fill("start", "l_discount", "l_tax", "a1")}, {_stump_fill("a1", "l_tax", "l_discount", "a2")},
+{_stump_fill("start", "l_tax", "l_discount", "b1")}, {_stump_fill("b1", "l_discount", "l_tax", "b2")}
+SELECT {KEYS}, round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax FROM (SELECT * FROM a2 WHERE discount_first UNION ALL SELECT * FROM b2 WHERE NOT discount_first)"""
+
+_MONEY = "money AS (SELECT \"ID\", o_totalprice AS x0, coalesce(c_acctbal, 0) AS x1, label, o_orderstatus FROM apps)"
+
+_TREE = f"""{_MONEY},
+n0 AS (SELECT *, 0 AS node, label::DOUBLE AS y1, 1.0 - label AS y0 FROM money),
+{_split("s0", "n0", ["x0", "x1"], ["y0", "y1"], 20, 100)},
+n1 AS (SELECT n0.* REPLACE (CASE WHEN CASE j WHEN 0 THEN x0 ELSE x1 END > cut THEN 2 ELSE 1 END AS node) FROM n0, s0),
+{_split("s1", "n1", ["x0", "x1"], ["y0", "y1"], 20, 100)},
+n2 AS (SELECT n1.* REPLACE (CASE WHEN cut IS NULL THEN n1.node WHEN CASE j WHEN 0 THEN x0 ELSE x1 END > cut THEN 2 * n1.node + 2 ELSE 2 * n1.node + 1 END AS node) FROM n1 LEFT JOIN s1 USING (node))
+SELECT "ID", round(avg(label) OVER (PARTITION BY node), 6) AS p FROM n2"""
+
+_CLASSES = ("'F'", "'O'", "'P'")
+_ROUND = f"""{_MONEY},
+prior AS (SELECT {", ".join(f"avg((o_orderstatus = {c})::INT) AS p{k}" for k, c in enumerate(_CLASSES))} FROM money),
+r AS (SELECT "ID", x0, x1, 0 AS node, {", ".join(f"(o_orderstatus = {c})::INT - p{k} AS y{k}, p{k}" for k, c in enumerate(_CLASSES))} FROM money, prior),
+{",".join(_split(f"s{k}", "r", ["x0", "x1"], [f"y{k}"], 1) for k in range(3))},
+{",".join(f"""
+d{k} AS (SELECT "ID", CASE j WHEN 0 THEN x0 ELSE x1 END > cut AS side, y{k} AS y FROM r, s{k}),
+f{k} AS (SELECT "ID", 0.5 * 2 / 3.0 * sum(y) OVER (PARTITION BY side) / sum(abs(y) * (1 - abs(y))) OVER (PARTITION BY side) AS v{k} FROM d{k})""" for k in range(3))},
+e AS (SELECT "ID", {", ".join(f"p{k} * exp(v{k}) AS e{k}" for k in range(3))} FROM r JOIN f0 USING ("ID") JOIN f1 USING ("ID") JOIN f2 USING ("ID"))
+SELECT "ID", {", ".join(f"round(e{k} / (e0 + e1 + e2), 6) AS p{k}" for k in range(3))} FROM e"""
+
+
 def oracle_sql() -> dict[str, str]:
     apps = f"WITH {APPS_SQL}"
     items = f"WITH {ITEMS_SQL}"
@@ -246,6 +298,9 @@ def oracle_sql() -> dict[str, str]:
             p AS (SELECT a.text, b.text AS text_b FROM texts a JOIN texts b ON split_part(a.text, ' ', 1) = split_part(b.text, ' ', 1) AND a.text <= b.text)
             SELECT p.text, p.text_b, round(coalesce(sum(c.u * d.u), 0), 5) + 0.0::DOUBLE AS cosine
             FROM p LEFT JOIN u c ON c.text = p.text LEFT JOIN u d ON d.text = p.text_b AND d.term = c.term GROUP BY 1, 2""",
+        "impute_forest_stump": f"{items}, {_STUMP}",
+        "random_forest_tree": f"{apps}, {_TREE}",
+        "gradient_boosting_round": f"{apps}, {_ROUND}",
         "impute_iterative_rf_cells": f"{items} SELECT {KEYS}, l_discount AS l_discount_observed, true AS l_discount_in_range, l_tax AS l_tax_observed, true AS l_tax_in_range FROM items",
         "impute_missforest_mixed_cells": f"{apps} SELECT \"ID\", " + ", ".join(
             f"{c} AS {c}_observed, true AS {c}_in_range" for c in ("o_totalprice", "c_acctbal", "c_mktsegment", "o_orderstatus")) + " FROM apps",

@@ -62,28 +62,6 @@ def test_scoring_keeps_fractions_and_counts_other_cells(spark):
     assert fit.unreadable(df, raw) == {"age": 1}
 
 
-def test_forests_of_all_rounds_give_the_fitted_table(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=300)
-    cols = [x + rng.normal(scale=0.2, size=300), 2 * x + rng.normal(scale=0.2, size=300), x**2]
-    rows = [[None if rng.random() < 0.2 else float(c[i]) for c in cols] for i in range(300)]
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, a double, b double, c double").repartition(1).cache()
-    state = iterative.fit_forests(df, ["a", "b", "c"], n_estimators=4, max_iter=3, max_depth=6)
-    assert state.rounds > 1 and all(len(done) == 3 for done in state.forests)
-    out = {r["id"]: r for r in iterative.apply_forests(df, state).collect()}
-    start = iterative._start(df, state.columns, state.means)
-    for done in state.forests:
-        for c, model in done:
-            start = iterative._predicted(start, state.columns, c, model)
-    want = {r["id"]: r for r in start.collect()}
-    err = [abs(out[i][c] - cols[k][i]) for i, r in enumerate(rows) for k, c in enumerate("abc") if r[k] is None]
-    once = iterative.ForestState(state.columns, state.means, state.forests[-1:])
-    single = {r["id"]: r for r in iterative.apply_forests(df, once).collect()}
-    worse = [abs(single[i][c] - cols[k][i]) for i, r in enumerate(rows) for k, c in enumerate("abc") if r[k] is None]
-    assert all(out[i][c] == want[i][c] for i in out for c in "abc")
-    assert np.mean(err) <= np.mean(worse) + 1e-9
-
-
 def test_folds_are_stratified(spark, monkeypatch):
     df = spark.range(200).selectExpr("cast(id as string) AS k", "cast(id < 10 as int) AS y", "cast(id % 13 as double) AS f")
     seen = []
