@@ -129,13 +129,16 @@ class Tree:
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row."""
-        at = np.zeros(len(x), dtype=np.int64)
-        live = np.flatnonzero(self.feature[at] >= 0)
-        while len(live):
-            node = at[live]
-            at[live] = self.left[node] + (x[live, self.feature[node]] > self.threshold[node])
-            live = live[self.feature[at[live]] >= 0]
-        return at
+        out, flat, width = np.zeros(len(x), dtype=np.int64), np.ascontiguousarray(x).ravel(), x.shape[1]
+        rows, node = np.arange(len(x)), out.copy()
+        while len(rows):
+            feature = self.feature.take(node)
+            inner = feature >= 0
+            if not inner.all():
+                out[rows[~inner]] = node[~inner]
+                rows, node, feature = rows[inner], node[inner], feature[inner]
+            node = self.left.take(node) + (flat.take(rows * width + feature) > self.threshold.take(node))
+        return out
 
 
 def _tried(seeds: np.ndarray, varied: np.ndarray, tried: int | None) -> np.ndarray:
@@ -500,8 +503,9 @@ def fit_forest(rows: DataFrame, width: int, rules: Rules, trees: int, local_rows
     tops = [Top.root(rules.width, int(s), count > local_rows) for s in roots]
     importance = _grow_tops(rows, tops, rules, width, local_rows) if count > local_rows else np.zeros((trees, width))
     grown = _subtrees(rows, tops, rules, width, count)
-    # At most two nodes a drawn row.
-    small = count * trees * 2 * (14 + 8 * rules.width) <= model_bytes
+    # At most two nodes a row, and what the depth allows.
+    nodes = min(2 * count, 1 << (min(rules.max_depth, 60) + 1)) if rules.max_depth is not None else 2 * count
+    small = nodes * trees * (14 + 8 * rules.width) <= model_bytes
     forest = Forest(rules, tops, importance, width)
     if small:
         found = [r.asDict() for r in grown.collect()]
