@@ -107,6 +107,11 @@ def _gradient(x, t, flat, sizes, dropout: float, l1: float, l2: float, rng) -> t
     return np.concatenate(parts), _loss(p, t)
 
 
+#: Rows that are shuffled together, and states that are added in one task.
+SHUFFLED, FAN = 8_192, 16
+_MOVED = "part bigint, n bigint, loss double, steps bigint, w array<double>"
+
+
 def _matrix(col: pd.Series) -> np.ndarray:
     return np.stack(col.to_numpy()).astype(float)
 
@@ -146,20 +151,10 @@ def fit_network(
     history: list[dict] = []
     for epoch in range(epochs):
         sent = spark.sparkContext.broadcast((state, steps))
-        moved = fit_rows.select("x", "y").mapInPandas(
-            _epoch(sent, sizes, rate, batch, dropout, l1, l2, seed, epoch), "n bigint, loss double, steps bigint, w array<double>"
-        )
-        moved = hold(moved)
-        total = moved.agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"), F.max("steps").alias("s")).first()
-        mean = (
-            moved.select("n", F.posexplode("w").alias("i", "v")).groupBy("i")
-            .agg((F.sum(F.col("v") * F.col("n")) / F.lit(float(total["n"]))).alias("v")).collect()
-        )
-        state = np.empty(3 * size)
-        for r in mean:
-            state[r["i"]] = r["v"]
-        steps = total["s"]
-        moved.unpersist()
+        moved = fit_rows.select("x", "y").mapInPandas(_epoch(sent, sizes, rate, batch, dropout, l1, l2, seed, epoch), _MOVED)
+        total = _added(moved, parts)
+        state = total["w"] / total["n"]
+        steps = total["steps"]
         sent.unpersist()
         val_loss, val_acc = _watch(watch, state[:size], sizes)
         history.append(
@@ -184,27 +179,55 @@ def _epoch(sent, sizes, rate, batch, dropout, l1, l2, seed, epoch):
         state, t = sent.value
         size = len(state) // 3
         w, m, v = state[:size].copy(), state[size:2 * size].copy(), state[2 * size:].copy()
-        rng = np.random.default_rng([seed, epoch, TaskContext.get().partitionId()])
+        part = TaskContext.get().partitionId()
+        rng = np.random.default_rng([seed, epoch, part])
         n, loss = 0, 0.0
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x, y = _matrix(pdf["x"]), _targets(pdf["y"].to_numpy(), sizes[-1])
+        for x, y in _blocks(batches):
+            y = _targets(y, sizes[-1])
             order = rng.permutation(len(x))
             for start in range(0, len(x), batch):
                 pick = order[start:start + batch]
-                g, part = _gradient(x[pick], y[pick], w, sizes, dropout, l1, l2, rng)
+                g, gone = _gradient(x[pick], y[pick], w, sizes, dropout, l1, l2, rng)
                 t += 1
                 m = 0.9 * m + 0.1 * g
                 v = 0.999 * v + 0.001 * g * g
                 w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-7)
-                n, loss = n + len(pick), loss + part
+                n, loss = n + len(pick), loss + gone
         if n:
-            yield pd.DataFrame({"n": [n], "loss": [loss], "steps": [t], "w": [np.concatenate([w, m, v])]})
+            yield pd.DataFrame({"part": [part], "n": [n], "loss": [loss], "steps": [t], "w": [np.concatenate([w, m, v]) * n]})
 
     return run
 
 
+def _blocks(batches):
+    """Rows in blocks of ``SHUFFLED`` by their place in hash order, however the session cuts Arrow batches."""
+    held, size = [], 0
+    for pdf in batches:
+        while len(pdf):
+            take = pdf.iloc[: SHUFFLED - size]
+            held.append((_matrix(take["x"]), take["y"].to_numpy()))
+            size, pdf = size + len(take), pdf.iloc[len(take):]
+            if size == SHUFFLED:
+                yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+                held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+
+
+def _sum(rows: pd.DataFrame) -> dict:
+    """Workers' weighted states added in the order of their partitions."""
+    rows = rows.sort_values("part")
+    return {"part": int(rows["part"].iloc[0]) // FAN, "n": int(rows["n"].sum()), "loss": float(rows["loss"].sum()), "steps": int(rows["steps"].max()), "w": np.add.reduce(np.stack(rows["w"].to_numpy()))}
+
+
+def _added(moved: DataFrame, parts: int) -> dict:
+    """The workers' states as arrays, added ``FAN`` at a time until ``FAN`` or fewer come to the driver; one job an epoch."""
+    while parts > FAN:
+        moved = moved.groupBy(F.floor(F.col("part") / FAN).alias("g")).applyInPandas(lambda rows: pd.DataFrame([_sum(rows)]), _MOVED)
+        parts = -(-parts // FAN)
+    return _sum(moved.toPandas())
+
+
 def _watch(rows: DataFrame, weights: np.ndarray, sizes: Sequence[int]) -> tuple[float, float]:
     def run(batches):
         n, loss, right = 0, 0.0, 0

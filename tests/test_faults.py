@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions.rowid import with_row_id
-from riskloom.operators import impute, iterative, schema
+from riskloom.operators import impute, neural, schema
 from riskloom.operators.split import holdout_split
 from riskloom.plans import catalog, curves, fit, search
 from riskloom.sources import tables, views
@@ -62,6 +62,25 @@ def test_scoring_keeps_fractions_and_counts_other_cells(spark):
     assert fit.unreadable(df, raw) == {"age": 1}
 
 
+def test_network_ignores_arrow_batches_and_sums_in_levels(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(700, 2))
+    df = spark.createDataFrame([(k, float(a), float(b), int(a + b > 0)) for k, (a, b) in enumerate(x)], "k long, a double, b double, y int").cache()
+    monkeypatch.setattr(neural, "ROWS_PER_PART", 90)
+    monkeypatch.setattr(neural, "MOST_PARTS", 20)
+    params = {"hidden_layer_sizes": (5,), "epochs": 2}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plain, _ = neural.fit_network(df, ["a", "b"], "y", 2, params, 7, "k")
+    monkeypatch.setattr(neural, "FAN", 2)
+    levels, _ = neural.fit_network(df, ["a", "b"], "y", 2, params, 7, "k")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+        small, _ = neural.fit_network(df, ["a", "b"], "y", 2, params, 7, "k")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert np.allclose(plain.weights, levels.weights, rtol=1e-9) and (levels.weights == small.weights).all()
+
+
 def test_folds_are_stratified(spark, monkeypatch):
     df = spark.range(200).selectExpr("cast(id as string) AS k", "cast(id < 10 as int) AS y", "cast(id % 13 as double) AS f")
     seen = []
