@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.lookup import lookup
 from riskloom.llm.components import components
-from riskloom.llm.files import stored
+from riskloom.llm.files import ready, stored
 from riskloom.llm.words import Words, byte_texts, mix, release, slices
 
 WORDS = 5
@@ -288,6 +288,7 @@ def jaccard_components(
 def _grouped(docs: DataFrame, size: int, hundredths: int, doc_id: str, text: str) -> DataFrame:
     """doc_id, text_hash, n_shingles, group (the component's smallest set key) and component_id."""
     spark, limit = docs.sparkSession, Threshold(hundredths)
+    ready(spark)
     value = docs[f"`{text}`"].cast("string")
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), _text_hash(value).alias("h"))
     summary = stored(_summaries(rows, size), "summary")
@@ -353,7 +354,9 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
     """(a, b, na, nb) of classes in different components that may be linked, from their open prefix postings.
 
     Shingles of fewer than ``HOT`` classes are joined with themselves and the pairs' open prefixes compared. The classes of the others meet in blocks, each with its open
-    prefix, and a block only gives out the pairs that meet there first and share enough.
+    prefix, and a block only gives out the pairs that meet there first and share enough. Beyond one block, the classes of a shingle's largest component
+    have blocks of their own, which meet those of the other classes but not each other: a group of near copies that is joined already costs
+    one row a class for each block of strangers.
     """
     left, hot = postings.where(F.col("df") < HOT), postings.where(F.col("df") >= HOT)
     right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("key", "n", "part", "place")])
@@ -366,9 +369,14 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
         pairs = pairs.join(lines.select(F.col("key").alias(end), F.col("line").alias(f"line_{end}")), end)
     pairs = pairs.withColumn("common", F.size(F.array_intersect("line_a", "line_b"))).where(limit.enough("common", "na", "nb")).select("a", "b", "na", "nb")
 
-    blocks = F.ceil(F.col("df") / BLOCK_CLASSES).cast("long")
-    own = F.pmod(F.xxhash64("key"), blocks)
-    met = hot.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    largest = hot.groupBy("token", "part").agg(F.count("*").alias("c")).groupBy("token").agg(F.max(F.struct("c", "part")).alias("x"))
+    hot = hot.join(largest.select("token", F.col("x.part").alias("big"), F.col("x.c").alias("m")), "token")
+    one, big = F.col("df") <= BLOCK_CLASSES, F.col("part") == F.col("big")
+    strangers, friends = (F.ceil(x / BLOCK_CLASSES).cast("long") for x in (F.col("df") - F.col("m"), F.col("m")))
+    zero, h = F.lit(0).cast("long"), F.xxhash64("key")
+    own = F.when(one, zero).when(big, strangers + F.pmod(h, friends)).otherwise(F.pmod(h, strangers))
+    last = F.when(one, zero).when(big, strangers - 1).otherwise(strangers + friends - 1)
+    met = hot.withColumn("own", own).withColumn("other", F.explode(F.sequence(zero, last)))
     met = met.join(lines, "key").select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "n", "part", "place", "line")
 
     def run(table: pa.Table) -> pa.Table:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.files import stored
+from riskloom.llm.files import ready, stored
 
 #: Base kinds in the order in which spans with one start are listed; the method's own kind comes last.
 KINDS = ("assign", "access", "hex")
@@ -215,6 +215,7 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sa
     matter; an empty table, or one with fewer than ten distinct values of a kind, leaves that kind without automaton.
     """
     spark = docs.sparkSession
+    ready(spark)
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), docs[f"`{text}`"].cast("string").alias("t"))
     schema = "doc_id long, places array<struct<kind: int, start: int, end: int, value: string>>"
     found = stored(rows.mapInArrow(_scan, schema), "places")

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.files import packed as packed_row, stored
+from riskloom.llm.files import packed as packed_row, ready, stored
 from riskloom.llm.words import _BYTE, _POWERS, byte_texts, mix, release, slices
 
 LENGTH = 50
@@ -316,6 +316,7 @@ def drop_repeated_substrings(docs: DataFrame, length: int = LENGTH, doc_id: str
     their texts; up to two billion bytes a text. A null id counts as larger than every id, and null ids do not remove each other's bytes. All columns stay, whatever their names;
     an empty table gives an empty result. ``length`` is 4 to 500.
     """
+    ready(docs.sparkSession)
     value = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), value.alias("t"), text_hash(value).alias("h"))
     total = rows.agg(F.sum(F.octet_length("t")).alias("b")).first()["b"] or 0

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskloom.llm.files import Reader, stored, whole_file
+from riskloom.llm.files import Reader, ready, stored, whole_file
 from riskloom.llm.words import LOWER, byte_texts, slices
 from riskloom.session import scratch_path
 
@@ -250,6 +250,7 @@ def write_tokens(
     Each document ends with ``end_id``. A null or empty text gives that id alone; a null id sorts first; rows with
     equal ids stay side by side, each with its own range; extra columns are left out; an empty table writes no file.
     """
+    ready(docs.sparkSession)
     bits = bits_for(max(vocabulary, end_id + 1))
     rows = docs.select(docs[f"`{doc_id}`"].cast("long").alias("i"), docs[f"`{text}`"].cast("string").alias("t"))
     rows = rows.repartitionByRange("i").sortWithinPartitions("i")
