@@ -233,3 +233,21 @@ def test_contained_items_equal_brute_force(spark, docs, rows, empty, monkeypatch
     assert Counter(r["doc_id"] for r in clean.collect()) == Counter(d for d, t, *_ in rows if d not in bad or not brute_contained([(d, t)], items.collect()))
     assert decontaminate.contained_items(empty, items).collect() == [] == decontaminate.contained_items(docs, items.where("false")).collect()
     assert decontaminate.without_contaminated(docs, items.where("false")).count() == len(rows)
+
+
+def test_hot_shingles_in_many_blocks(spark, monkeypatch):
+    """Groups of near copies that share a passage with strangers, met in blocks of three, with few star rounds: no link is lost."""
+    monkeypatch.setattr(jaccard, "HOT", 2)
+    monkeypatch.setattr(jaccard, "BLOCK_CLASSES", 3)
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 1)
+    rng = random.Random(12)
+    passage = cases.sentence(rng, 20)
+    bases = [cases.sentence(rng, 60) for _ in range(3)]
+    texts = [passage + " " + cases.edited(rng, bases[k % 3], rng.randrange(1, 4)) for k in range(45)]
+    texts += [passage + " " + cases.sentence(rng, rng.randrange(4, 9)) for _ in range(25)]
+    rows = [(k, t, "en", "s") for k, t in enumerate(texts)]
+    sets = [cases.shingles(t) for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(cases.frame(spark, rows)).collect()}
+    assert [got[k] for k in range(len(rows))] == cases.components(rows, links)
+    assert 5 < len(set(got.values())) < len(rows) - 10
