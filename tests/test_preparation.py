@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom import limits
 from riskloom.operators import encode, impute, isolation, iterative, outliers, scale, schema, split, text
 from riskloom.plans import catalog
 from riskloom.session import scratch_path
@@ -134,6 +135,42 @@ def test_lsa_values_equal_numpy(spark):
     assert np.allclose(np.linalg.norm(got, axis=0), s, atol=1e-8)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_lsa_by_iteration_equals_numpy(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(text, "WIDE", 16)
+    monkeypatch.setattr(text, "SPARE", 8)
+    if not broadcast:
+        monkeypatch.setattr(limits, "BROADCAST_BYTES", 0)
+    rng = np.random.default_rng(1)
+    x = np.where(rng.random((300, 60)) < 0.2, rng.random((300, 60)), 0.0) * np.linspace(0.3, 2.0, 60)
+    x[:, 59] = x[:, 58]
+    cells = spark.createDataFrame(
+        [(f"t{i}", f"w{j:02}", int((x[:, j] > 0).sum()), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)],
+        "text string, term string, df bigint, x double",
+    )
+    got = {r["term"]: r["v"] for r in text.leading_terms(cells, cells.select("term", "df").distinct(), 6).collect()}
+    v = np.array([got[f"w{j:02}"] for j in range(60)])
+    value, right = np.linalg.svd(x)[1:]
+    right = right[:6].T
+    right = right * np.sign(right[np.abs(right).argmax(axis=0), np.arange(6)])
+    assert np.allclose(np.linalg.norm(x @ v, axis=0), value[:6], rtol=1e-10)
+    assert np.allclose(v.T @ v, np.eye(6), atol=1e-9)
+    assert np.allclose(np.abs(np.sum(v * right, axis=0)), 1.0, atol=1e-8)
+
+
+def test_lsa_leaves_out_vanishing_directions(spark, monkeypatch):
+    monkeypatch.setattr(text, "WIDE", 4)
+    rng = np.random.default_rng(2)
+    x = rng.random((40, 3)) @ rng.random((3, 30))
+    cells = spark.createDataFrame(
+        [(f"t{i}", f"w{j}", 40, float(x[i, j])) for i in range(40) for j in range(30)], "text string, term string, df bigint, x double"
+    )
+    got = text.leading_terms(cells, cells.select("term", "df").distinct(), 10).collect()
+    v = np.array([r["v"] for r in sorted(got, key=lambda r: int(r["term"][1:]))])
+    assert v.shape == (30, 3) and np.allclose(x @ v @ v.T, x, atol=1e-8)
+    assert np.allclose(np.linalg.norm(x @ v, axis=0), np.linalg.svd(x, compute_uv=False)[:3], rtol=1e-9)
+
+
 def test_lsa_with_an_empty_vocabulary_gives_zeros(spark):
     df = spark.createDataFrame([("a",), ("b",)], "s string")
     out = encode.apply_encode(df, encode.fit_encode(df, "lsa", n_components=2))
