@@ -2,6 +2,7 @@
 
 import bisect
 import gzip
+import math
 import random
 import re
 import zlib
@@ -77,6 +78,84 @@ def test_scan_adds_spans_of_learned_formats(spark):
     assert any(s["kind"] == secrets.FOUND for s in got[1000])
 
 
+def brute_format(formats, text):
+    """Spans of the learned formats in one text: runs by a regular expression, scored character by character through the arcs."""
+    taken = [(s, e) for s, _, e, _ in secrets.base_spans(text or "")]
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_](?:[A-Za-z0-9+/_.-]*[A-Za-z0-9+/_])?", text or ""):
+        value = m[0]
+
+        def walk(automaton):
+            at, total = 0, 0.0
+            seen = Counter()
+            for c, n in automaton.chars.items():
+                seen[secrets.CLASS[c]] += n
+            for c in value:
+                name = secrets.CLASS[c]
+                members = sum(x == name for x in secrets.CLASS.values())
+                arc = automaton.arcs[at].get(name)
+                total += math.log((automaton.chars[c] + 0.5) / (seen[name] + 0.5 * members))
+                total += max(secrets.FLOOR, math.log(arc[1] / automaton.visits[at])) if arc else secrets.FLOOR
+                at = arc[0] if arc else at
+            n = sum(automaton.lengths.values())
+            return total, total + math.log(0.9 * automaton.lengths[len(value)] / n + 0.1 / (2 * len(value)))
+
+        if len(value) < formats.least or any(s < m.end() and m.start() < e for s, e in taken):
+            continue
+        reached = [w for (t, w), bar in ((walk(a), bar) for _, a, bar in formats.kinds) if t >= bar * len(value)]
+        if reached and max(reached) - max(walk(o)[1] for o in formats.ordinary) >= secrets.MARGIN:
+            out.append((m.start(), m.end()))
+    return out
+
+
+HEX, UPPER = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def planted(rng):
+    """Texts with labelled credentials of three kinds, then held-out ones as (text, start, end), then ordinary ones."""
+    code = lambda n, alphabet: cases.letters(rng, n, alphabet)
+    prose = lambda n: " ".join(cases.letters(rng, rng.randrange(2, 12), "etaoinshrdlu") for _ in range(n))
+    known = [f"{prose(9)} {rng.choice(['token', 'secret', 'api_key'])} = {code(rng.choice([12, 18, 40]), HEX)} {prose(9)}" for _ in range(150)]
+    known += [f"{prose(5)} AKIA{code(16, UPPER)} {prose(5)}" for _ in range(100)] + [f"{prose(5)} {code(40, HEX)}, {prose(5)}" for _ in range(100)]
+    new = []
+    for k in range(120):
+        before, mark = [("é ", ""), ("AWS_SECRET_ACCESS_KEY=", ""), ("auth=", "."), ("(", ")."), ("see: ", "...")][k % 5]
+        value = [code(20, HEX), "ASIA" + code(16, UPPER), code(23, HEX), code(10, "0123456789") + code(6, "abcdef")][k % 4]
+        text = f"{prose(6)} {before}{value}{mark} {prose(6)}"
+        start = text.index(value)
+        new.append((text, start, start + len(value)))
+    plain = [f"{prose(20)} {prose(2).title()} mail{k % 9}.example.com {rng.randrange(10**15, 10**16)} page-{rng.randrange(10**11, 10**12)}.html 2024-0{1 + k % 9}-1{k % 9} {prose(2).upper()} v{k % 7}.1.{k % 5}-rc1" for k in range(300)]
+    return known, new, plain
+
+
+def test_held_out_formats_are_found_and_equal_brute_force(spark, monkeypatch):
+    known, new, plain = planted(random.Random(12))
+    texts = [*known, *(t for t, _, _ in new), *plain]
+    fitted = []
+    fit = secrets.Formats.fit.__func__
+    monkeypatch.setattr(secrets.Formats, "fit", classmethod(lambda cls, *a: fitted.append(fit(cls, *a)) or fitted[-1]))
+    frame = cases.frame(spark, [(k, t, "en", "s") for k, t in enumerate(texts)]).repartition(5)
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == secrets.FOUND] for r in secrets.scan_secrets(frame).collect()}
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in ((k, brute_format(fitted[-1], t)) for k, t in enumerate(texts)) if v}
+    hit = sum((s, e) in got[len(known) + k] for k, (_, s, e) in enumerate(new))
+    assert hit >= 0.9 * len(new)
+    assert sum(len(got[k]) for k in range(len(known) + len(new), len(texts))) == 0
+    assert sum(len(got[k]) for k in range(len(known))) == 0
+    access = next(a for kind, a, _ in fitted[-1].kinds if kind == "access")
+    assert len(access.arcs) >= 4
+
+
+def test_long_runs_score_like_short_ones():
+    rng = random.Random(5)
+    found = secrets.Formats.fit({"hex": [cases.letters(rng, 40, HEX) for _ in range(60)]}, [cases.letters(rng, 9, "etaoins") for _ in range(60)])
+    run = cases.letters(rng, 5000, HEX)
+    parts = [run, *[cases.letters(rng, 30, HEX) for _ in range(40)], run[:7]]
+    data, starts, sizes = secrets._laid(parts)
+    together = found.kinds[0][1].scores(data, starts, sizes)
+    assert together == pytest.approx([found.kinds[0][1].scores(*secrets._laid([p]))[0] for p in parts])
+    assert found.score(run) is not None and found.score("") is None
+
+
 # ---- token files
 
 PATH = public_tokenizers.path(queries.TOKENIZER)
