@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.llm.files import packed
 from riskloom.llm.words import STRIP, Words, byte_texts, mix, rolling, slices
 
-#: Most of a text's word characters that may lie in repeated n-grams of so many words.
-GRAM_LIMITS: Mapping[int, float] = {5: 0.50, 8: 0.50, 12: 0.50}
+#: Most of a text's word characters that may lie in repeated n-grams of so many words. What repeats in longer runs repeats in shorter
+#: ones too, so the bounds fall with the length; all lie above the largest share of any document labelled good (0.43, repeated lines).
+GRAM_LIMITS: Mapping[int, float] = {5: 0.50, 8: 0.47, 12: 0.44}
 #: Most of a text's word characters that may lie in repeated lines.
-LINE_LIMIT = 0.50
+LINE_LIMIT = 0.45
 MIN_WORDS = 50
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 

@@ -60,7 +60,8 @@ a AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word
   coalesce(c5, 0)::BIGINT AS dup_5gram_chars, coalesce(c8, 0)::BIGINT AS dup_8gram_chars, coalesce(c12, 0)::BIGINT AS dup_12gram_chars
   FROM d LEFT JOIN r USING (doc_id) LEFT JOIN q USING (doc_id))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * greatest(dup_line_chars, dup_5gram_chars, dup_8gram_chars, dup_12gram_chars) <= word_chars AS kept
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * dup_line_chars <= 45 * word_chars
+    AND 100 * dup_5gram_chars <= 50 * word_chars AND 100 * dup_8gram_chars <= 47 * word_chars AND 100 * dup_12gram_chars <= 44 * word_chars AS kept
 FROM a"""
 
 WARC = """

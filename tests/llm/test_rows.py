@@ -282,7 +282,7 @@ def brute_quality(text, sizes=(3, 5, 8, 12)):
     dup = sum(n * sum(map(len, cases.words(x, fold=False))) for x, n in lines.items() if n > 1)
     grams = [sum(len(w[k]) for k in covered[n]) for n in sizes[1:]]
     failed = len(w) < 50 or 100 * len(covered[3]) > 50 * len(w)
-    kept = not failed and all(2 * x <= chars for x in [dup, *grams])
+    kept = not failed and all(100 * x <= most * chars for x, most in zip([dup, *grams], (45, 50, 47, 44), strict=True))
     return (len(w), chars, sum(c in "#*$%&|<>" for c in text or ""), sum(n - 1 for n in lines.values()), len(covered[3]), failed, dup, *grams, kept)
 
 
@@ -299,6 +299,30 @@ def test_quality_of_any_text(text):
     assert tuple(x[1].item() for x in found.values()) == brute_quality(text)
 
 
+def repeated(rng, size, word, times, rest, line=False):
+    """A run of ``size`` words ``times`` over, among ``rest`` other words, with no other repeat."""
+    fresh = (f"u{k}" + "x" * rng.randrange(3) for k in range(10**6))
+    run = " ".join(word + str(k) for k in range(size))
+    gap = rest // (times + 1)
+    glue = "\n" if line else " "
+    return glue.join(x for _ in range(times) for x in (" ".join(next(fresh) for _ in range(gap)), run)) + glue + " ".join(next(fresh) for _ in range(gap))
+
+
+@pytest.mark.parametrize("rule, size, line", [("5gram", 5, False), ("8gram", 8, False), ("12gram", 12, False), ("line", 2, True)])
+def test_each_quality_rule_rejects_alone(spark, rule, size, line):
+    limits = {"line": (45, 100), "5gram": (50, 100), "8gram": (47, 50), "12gram": (44, 47)}
+    low, high = limits[rule]
+    rng = random.Random(8)
+    tried = (repeated(rng, size, "w" * n, 6, rest, line) for n in range(1, 40) for rest in range(60, 300, 7))
+    text = next(
+        t for t in tried
+        for f in [dict(zip(("n", "chars", "sym", "lines", "rep", "failed", "line", "5gram", "8gram", "12gram", "kept"), brute_quality(t), strict=True))]
+        if not f["failed"] and low * f["chars"] < 100 * f[rule] <= high * f["chars"]
+        and all(100 * f[r] <= limits[r][0] * f["chars"] for r in limits if r != rule))
+    got = quality.quality_rules(cases.frame(spark, [(1, text, "en", "s")])).first()["_rules"]
+    assert not got["base_failed"] and not got["kept"]
+
+
 # ---- mixing
 
 
