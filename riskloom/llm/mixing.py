@@ -20,7 +20,7 @@ from riskloom.llm.files import packed, stored
 AXES = ("source", "lang", "topic")
 #: A target share is the observed token share to this power, made to sum to one; 1 keeps the share, 0 makes all equal.
 TEMPER: Mapping[str, float] = {"source": 0.5, "lang": 0.7, "topic": 1.0}
-#: Share of the tokens that the pipeline keeps.
+#: Share of the tokens that the query and the pipeline keep.
 KEEP = 0.65
 ROUNDS = 30
 #: Rounds between two writings of the cells, which keeps the plan short.

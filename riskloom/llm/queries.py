@@ -64,10 +64,10 @@ def op3_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    docs = mixing.mix_sources(_table(spark, sf, "documents"))
+    docs = mixing.mix_sources(_table(spark, sf, "documents"), keep=mixing.KEEP)
     return docs.select(
         "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("cell_weight"),
-        F.col("_chance").alias("chance"), F.col("_sampled").alias("sampled"))
+        F.col("_chance").alias("chance"), F.col("_sampled").alias("sampled"), F.col("_clipped").alias("clipped"))
 
 
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:

@@ -71,8 +71,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'r
   CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)"""
 
-def mixing(table: str = "documents", rounds: int = 30, temper: tuple[float, float, float] = (0.5, 0.7, 1.0), seed: int = 17, digits: int = 9) -> str:
-    """Common table expressions that end in ``mixed``: the drawn documents of a table."""
+def mixing(table: str = "documents", rounds: int = 30, temper: tuple[float, float, float] = (0.5, 0.7, 1.0), seed: int = 17, digits: int = 9, keep: float = 0.65) -> str:
+    """Common table expressions that end in ``mixed``: the drawn documents of a table, a share ``keep`` of its tokens on average."""
     axes = ("source", "lang", "topic")
 
     def marks(chars: str) -> str:
@@ -93,12 +93,16 @@ mt AS (SELECT *, {target} FROM mp),
 mw(k, source, lang, topic, tokens, source_t, lang_t, topic_t, weight) AS (
   SELECT 0, source, lang, topic, tokens, source_t, lang_t, topic_t, tokens / sum(tokens) OVER () FROM mt UNION ALL
   SELECT k + 1, source, lang, topic, tokens, source_t, lang_t, topic_t, CASE k % 3 {turn} END FROM mw WHERE k < {3 * rounds}),
-mg AS (SELECT source, lang, topic, round(weight, {digits}) AS cell_weight, round(weight / tokens / max(weight / tokens) OVER (), {digits}) AS chance FROM mw WHERE k = {3 * rounds}),
+mf AS (SELECT *, weight / tokens AS factor FROM mw WHERE k = {3 * rounds}),
+ml AS (SELECT *, {keep} * sum(tokens) OVER () AS budget,
+  sum(tokens) OVER (ORDER BY factor DESC) + (sum(weight) OVER () - sum(weight) OVER (ORDER BY factor DESC)) / factor <= {keep} * sum(tokens) OVER () AS clipped FROM mf),
+ms AS (SELECT *, (budget - coalesce(sum(tokens) FILTER (clipped) OVER (), 0)) / sum(weight) FILTER (NOT clipped) OVER () AS scale FROM ml),
+mg AS (SELECT source, lang, topic, round(weight, {digits}) AS cell_weight, round(CASE WHEN clipped THEN 1 ELSE least(1, scale * factor) END, {digits}) AS chance, clipped FROM ms),
 mixed AS (SELECT mx.*, CASE WHEN n_tokens > 0 THEN cell_weight ELSE 0 END AS cell_weight, CASE WHEN n_tokens > 0 THEN chance ELSE 0 END AS chance,
-  u < CASE WHEN n_tokens > 0 THEN chance ELSE 0 END AS sampled FROM mx LEFT JOIN mg USING (source, lang, topic))"""
+  u < CASE WHEN n_tokens > 0 THEN chance ELSE 0 END AS sampled, coalesce(clipped, false) AS is_clipped FROM mx LEFT JOIN mg USING (source, lang, topic))"""
 
 
-MIXING = f"WITH RECURSIVE {mixing()} SELECT doc_id, source, lang, topic, n_tokens, cell_weight, chance, sampled FROM mixed"
+MIXING = f"WITH RECURSIVE {mixing()} SELECT doc_id, source, lang, topic, n_tokens, cell_weight, chance, sampled, is_clipped AS clipped FROM mixed"
 
 #: The 256 remainders of the cyclic redundancy check, made by its rule.
 _REMAINDERS = (
