@@ -47,7 +47,7 @@ STAGES = [
     ("sharding", sharding_stage),
 ]
 
-#: Bin packing has no SQL form; ``riskloom.llm.sql.PIPELINE_KEPT`` checks the four stages before it, tests the fifth.
+#: Bin packing has no SQL form; the tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
