@@ -8,7 +8,7 @@ same way: of runs without a digit (in capitals, or not), of runs without a lette
 Every other run of credential characters in every text is a candidate. It becomes a span when its likelihood per character under an automaton is one that
 labelled credentials of that kind reach, and when the whole of it is likelier than under every ordinary automaton by a stated factor.
 
-The texts are read twice, in place, to learn and to score; no text and no credential is written anywhere. Only the samples (``SAMPLE`` values per
+The texts are read twice, in place, to learn and to score; no text or credential is written to the shared folder (sampled values pass through a shuffle). Only the samples (``SAMPLE`` values per
 kind) reach the driver, and only the automata go out. Candidates of a run of texts are scored together, one character of all of them at a time.
 """
 
