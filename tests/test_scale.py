@@ -1,8 +1,24 @@
 """Steps that must not grow faster than their input."""
 
+import numpy as np
+from pyspark.sql import functions as F
+
+from riskloom.operators import boosting, trees
 from riskloom.sources import views
 
 
 def test_customers_are_not_sent_to_the_driver(spark, sf):
     plan = views.apps(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan
+
+
+def test_boosting_takes_cuts_once_from_packed_rows(spark, monkeypatch):
+    asked = []
+    cuts_of = trees.cuts_of
+    monkeypatch.setattr(trees, "cuts_of", lambda rows, width: asked.append(1) or cuts_of(rows, width))
+    df = spark.range(600).select(F.xxhash64("id").alias("h"), F.lit(1).alias("m"), F.array((F.col("id") % 20).cast("double"), (F.col("id") % 7).cast("double")).alias("x"), (F.col("id") % 20 > 11).cast("double").alias("y"))
+    model = boosting.fit_boosted(df, 2, 2, {0: 360, 1: 240}, 3, 0.3, 2, local_rows=100)
+    assert len(asked) == 1 and len(model.rounds) == 3
+    whole = boosting.fit_boosted(df, 2, 2, {0: 360, 1: 240}, 3, 0.3, 2)
+    x = np.column_stack([np.arange(40) % 20, np.arange(40) % 7]).astype(float)
+    assert np.allclose(model.scores(x), whole.scores(x))
