@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from riskloom.operators import boosting, trees
+from riskloom.operators import boosting, neighbors, trees
 from riskloom.sources import views
 
 
@@ -22,3 +22,14 @@ def test_boosting_takes_cuts_once_from_packed_rows(spark, monkeypatch):
     whole = boosting.fit_boosted(df, 2, 2, {0: 360, 1: 240}, 3, 0.3, 2)
     x = np.column_stack([np.arange(40) % 20, np.arange(40) % 7]).astype(float)
     assert np.allclose(model.scores(x), whole.scores(x))
+
+
+def test_neighbour_search_has_a_task_for_each_pair_of_blocks(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(rng.normal(size=(2500, 3)))], "tie long, vec array<double>")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    schema = neighbors.T.StructType([df.schema["vec"], neighbors.T.StructField("dist", neighbors.T.DoubleType()), df.schema["tie"]])
+    blocks = np.array([5])
+    cells = neighbors._with_blocks(df.withColumn("cell", F.lit(0)), blocks)
+    found = neighbors._search(df.select("vec").withColumn("cell", F.lit(0)), cells, blocks, 2, schema, 500)
+    assert found.rdd.getNumPartitions() == 25
