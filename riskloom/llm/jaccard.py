@@ -14,6 +14,8 @@
    group of near copies never becomes all its pairs.
 5. To confirm, the sets on the other end of one set are stored in a trie in the global order, in blocks of bounded size. The set walks the trie;
    branches share the overlap counted so far, and a subtree whose remaining length cannot reach the threshold is cut.
+   Candidates that a hot shingle brings together never become rows, one a pair: their classes go to their block a second time, with whole sets, and
+   the block gives one link for each two components that it joins.
 
 Sets are compared by 64-bit shingle hashes.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -248,10 +251,8 @@ def walk(center: np.ndarray, others: list[np.ndarray], limit: Threshold) -> Iter
         nodes += [(b, end, matched) for b in branches.values()]
 
 
-def _confirmed(pairs: DataFrame, rows: DataFrame, classes: DataFrame, order, size: int, limit: Threshold) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
     """Of the pairs (a, b) those that reach the threshold, by tries over the sets of b that one a meets."""
-    ends = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = _sets_of(rows, stored(classes.join(ends, "key", "left_semi").select("key", "doc"), "wanted"), order, size)
     blocks = pairs.groupBy("a").agg(F.ceil(F.sum("nb") / BLOCK_SHINGLES).cast("long").alias("blocks"))
     dealt = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.greatest("blocks", F.lit(1))))
     ends = dealt.select("a", "block", F.col("b").alias("key"), F.lit(False).alias("center")).unionAll(
@@ -304,23 +305,29 @@ def _grouped(docs: DataFrame, size: int, hundredths: int, doc_id: str, text: str
     # Joined by key first, so that equal postings already lie together.
     shared = stored(shared.join(sizes, "key").distinct(), "shared")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return _confirmed(pairs, rows, classes, order, size, limit)
+    def sets_of(*keys: DataFrame) -> DataFrame:
+        ends = reduce(DataFrame.unionAll, keys).distinct()
+        return _sets_of(rows, stored(classes.join(ends, "key", "left_semi").select("key", "doc"), "wanted"), order, size)
+
+    def both(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key")))
 
     links = label = known = None
     for turn in range(STAR_ROUNDS):
         postings = shared.withColumn("part", F.col("key")) if label is None else _open(shared, label)
         stars = stored(_stars(postings, limit, turn), "stars")
-        found = stored(confirmed(stars), "links")
+        found = stored(_confirmed(stars, sets_of(both(stars)), limit), "links")
         links = found if links is None else links.unionAll(found)
         known = stars if known is None else known.unionAll(stars)
         label = components(links, "a", "b")
 
     left = stored(_open(shared, label), "open")
-    rest = _candidates(left, limit)
+    rest, met = _candidates(left, limit)
     tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(tried, ["a", "b"], "left_anti").select("a", "b", "na", "nb"), "rest")
-    label = components(links.unionAll(confirmed(rest)), "a", "b")
+    met = stored(met, "met")
+    sets = sets_of(both(rest), met.select("key"))
+    label = components(links.unionAll(_confirmed(rest, sets, limit)).unionAll(_joined(met, sets, limit)), "a", "b")
 
     joined = classes.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = joined.groupBy("component").agg(F.min("doc").alias("component_id"))
@@ -350,11 +357,12 @@ def _open(shared: DataFrame, label: DataFrame) -> DataFrame:
     return marked.join(several, "token")
 
 
-def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
-    """(a, b, na, nb) of classes in different components that may be linked, from their open prefix postings.
+def _candidates(postings: DataFrame, limit: Threshold) -> tuple[DataFrame, DataFrame]:
+    """(a, b, na, nb) of classes in different components that may be linked, from their open prefix postings; and (token, i, j, own, key, part) of
+    the classes that may be linked with another one of their block.
 
     Shingles of fewer than ``HOT`` classes are joined with themselves and the pairs' open prefixes compared. The classes of the others meet in blocks, each with its open
-    prefix, and a block only gives out the pairs that meet there first and share enough. Beyond one block, the classes of a shingle's largest component
+    prefix, and a block only gives out the classes of the pairs that meet there first and share enough. Beyond one block, the classes of a shingle's largest component
     have blocks of their own, which meet those of the other classes but not each other: a group of near copies that is joined already costs
     one row a class for each block of strangers.
     """
@@ -382,11 +390,11 @@ def _candidates(postings: DataFrame, limit: Threshold) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         return _meet(table, limit)
 
-    return pairs.unionAll(met.groupBy("token", "i", "j").applyInArrow(run, "a long, b long, na long, nb long")).distinct()
+    return pairs, met.groupBy("token", "i", "j").applyInArrow(run, "token long, i long, j long, own long, key long, part long")
 
 
 def _meet(table: pa.Table, limit: Threshold) -> pa.Table:
-    """Of the classes of one shingle, in one pair of blocks, the pairs that meet there first and can be linked."""
+    """The classes of one shingle, in one pair of blocks, that are in a pair that meets there first and can be linked."""
     release()
     column = lambda c: table.column(c).to_numpy()
     key, n, part, place, own = (column(c).astype(np.int64) for c in ("key", "n", "part", "place", "own"))
@@ -413,11 +421,61 @@ def _meet(table: pa.Table, limit: Threshold) -> pa.Table:
     good &= (np.minimum(nx - place[x][:, None], ny - place[y][None, :]) >= need) & (np.minimum(nx, ny) * 100 >= np.maximum(nx, ny) * limit.hundredths)
     if i == j:
         good &= key[x][:, None] < key[y][None, :]
-    p, q = np.nonzero(good)
-    a, b = x[p], y[q]
-    turn = key[a] > key[b]
-    a, b = np.where(turn, b, a), np.where(turn, a, b)
-    return pa.table({"a": key[a], "b": key[b], "na": n[a], "nb": n[b]})
+    some = np.unique(np.concatenate([x[good.any(axis=1)], y[good.any(axis=0)]]))
+    return table.select(["token", "i", "j", "own", "key", "part"]).take(pa.array(some))
+
+
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Shared shingles of every set of a with every set of b."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    out = np.zeros((len(a), len(b)), np.float32)
+    ends = []
+    for sets in (a, b):
+        token, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        code = np.minimum(np.searchsorted(both, token), max(len(both) - 1, 0))
+        known = np.flatnonzero(both[code] == token) if len(both) else code[:0]
+        turn = known[np.argsort(code[known], kind="stable")]
+        ends.append((row[turn], code[turn]))
+    for start in range(0, len(both), 2048):
+        sides = []
+        for sets, (row, code) in zip((a, b), ends, strict=True):
+            now = slice(*np.searchsorted(code, [start, start + 2048]))
+            side = np.zeros((len(sets), 2048), np.float32)
+            side[row[now], code[now] - start] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _tiles(rows: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Rows in pieces of about ``BLOCK_SHINGLES`` shingles."""
+    piece = np.cumsum(n[rows]) // BLOCK_SHINGLES
+    return np.split(rows, np.flatnonzero(np.diff(piece)) + 1) if len(rows) else []
+
+
+def _joined(met: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
+    """Links (a, b) between the classes of each pair of blocks: one for every two components that are linked there."""
+
+    def run(table: pa.Table) -> pa.Table:
+        release()
+        key, part, own = (table.column(c).to_numpy() for c in ("key", "part", "own"))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        tokens = [np.frombuffer(x, dtype=np.uint64) for x in table.column("tokens").to_pylist()]
+        n = np.array([len(x) for x in tokens])
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        for x in _tiles(np.flatnonzero(own == i), n):
+            for y in _tiles(np.flatnonzero(own == j), n):
+                need = -(-limit.hundredths * (n[x][:, None] + n[y][None, :]) // (100 + limit.hundredths))
+                good = (part[x][:, None] != part[y][None, :]) & (_overlaps([tokens[k] for k in x], [tokens[k] for k in y]) >= need)
+                a, b = np.nonzero(good)
+                least, most = np.minimum(part[x[a]], part[y[b]]), np.maximum(part[x[a]], part[y[b]])
+                turn = np.lexsort((most, least))
+                turn = turn[_new(least[turn], most[turn])] if len(turn) else turn
+                for k in turn.tolist():
+                    found.setdefault((int(least[k]), int(most[k])), (int(key[x[a[k]]]), int(key[y[b[k]]])))
+        return pa.table({"a": pa.array([p for p, _ in found.values()], pa.int64()), "b": pa.array([q for _, q in found.values()], pa.int64())})
+
+    return met.join(sets, "key").groupBy("token", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def _stars(postings: DataFrame, limit: Threshold, turn: int) -> DataFrame:

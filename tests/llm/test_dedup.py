@@ -251,3 +251,26 @@ def test_hot_shingles_in_many_blocks(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(cases.frame(spark, rows)).collect()}
     assert [got[k] for k in range(len(rows))] == cases.components(rows, links)
     assert 5 < len(set(got.values())) < len(rows) - 10
+
+
+def test_near_strangers_of_a_group_are_no_pair_rows(spark, monkeypatch):
+    """Texts that just miss a large group of near copies: the work is split by classes, no table has a row for each pair."""
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 1)
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    rows_of, plain = {}, jaccard.stored
+
+    def counted(df, name, folder=None):
+        out = plain(df, name, folder)
+        if name in ("rest", "met"):
+            rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    rng = random.Random(5)
+    base = cases.sentence(rng, 120, 4000)
+    texts = [f"{base} end{k}" for k in range(120)] + [cases.edited(rng, base, 4) + f" far{k}" for k in range(60)]
+    rows = [(k, t, "en", "s") for k, t in enumerate(texts)]
+    got = Counter(tuple(r) for r in jaccard.jaccard_components(cases.frame(spark, rows)).collect())
+    assert got == brute_jaccard(rows)
+    assert len({c for _, _, c in got}) > 20
+    assert rows_of["rest"] + rows_of.get("met", 0) < 120 * 60 / 3
