@@ -123,6 +123,32 @@ def test_cuts_of_its_own_for_a_node_that_the_common_cuts_cannot_part(spark, monk
     assert all(p == [1 - y, y] for p, y in ((r["p"], r["y"]) for r in trees.predict(df, forest, ["a", "b"], "p").collect()))
 
 
+def test_every_task_that_grows_nodes_has_some(table, monkeypatch):
+    """Nodes are dealt by the rows they drew: no task is left empty, none has a large node and another one."""
+    monkeypatch.setattr(trees, "TASK_ROWS", 400)
+    made, whole = [], trees._subtrees
+    monkeypatch.setattr(trees, "_subtrees", lambda *a: made.append((a[1], whole(*a))) or made[-1][1])
+    trees.fit_forest(rows_of(table), 2, trees.Rules(), 6, local_rows=700)
+    (tops, grown), = made
+    held = {}
+    for r in grown.select("tree", "node", F.spark_partition_id().alias("task")).collect():
+        held.setdefault(r["task"], []).append(tops[r["tree"]].drawn[r["node"]])
+    assert len(held) == grown.rdd.getNumPartitions() > 6
+    assert all(len(sizes) == 1 or sum(sizes) <= 400 for sizes in held.values()) and max(map(len, held.values())) > 1
+
+
+def test_a_level_costs_the_rows_that_it_may_split(monkeypatch):
+    """Rows in leaves, and of features that do not vary in a node, are read no more."""
+    read, deal = [], trees._halved
+    monkeypatch.setattr(trees, "_halved", lambda o, v, size, side: read.append(len(o)) or deal(o, v, size, side))
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.permutation(2000), rng.integers(0, 2, 2000)]).astype(float)
+    y = (x[:, 0] < 100).astype(float)
+    tree, _ = trees.grow(x, y, np.ones(2000), np.ones(2000), trees.Rules(classes=2))
+    # One split settles all: the level after it reads nothing.
+    assert len(tree.feature) == 3 and read == [2000, 2000, 2000]
+
+
 def test_forests_survive_saving_and_other_layouts(spark, table):
     rules = trees.Rules(classes=3, tried=1, max_depth=6)
     forest = trees.fit_forest(rows_of(table), 2, rules, 4)
