@@ -200,6 +200,14 @@ def test_text_target_and_unencoded(spark, sf):
         fit.fit_config(wide, "label", {**catalog.FLAGSHIP, "encoding": {"method": "onehot", "params": {"max_cardinality_threshold": 10}}})
 
 
+def test_multiclass_boosting_query_grows_all_its_trees(spark, sf, monkeypatch):
+    asked = []
+    monkeypatch.setattr(models.boosting, "fit_boosted", lambda rows, width, k, counts, rounds, *rest: asked.append((k, rounds)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        catalog.model_gradient_boosting_multiclass(spark, sf)
+    assert asked == [(3, 100)]
+
+
 def test_search_is_repeatable_resumes_and_records_failures(spark, sf):
     apps = views.apps(spark, sf)
     settings = search.SearchSettings(population=2, generations=2, elitism=0.5, tournament=2, mutation=0.0, parallel=2)
