@@ -208,6 +208,19 @@ def test_multiclass_boosting_query_grows_all_its_trees(spark, sf, monkeypatch):
     assert asked == [(3, 100)]
 
 
+def test_search_queries_run_the_default_search(spark, sf, monkeypatch):
+    asked = []
+
+    def found(df, target, keys=(), test=None, settings=None, trials_path=None, start=()):
+        asked.append((settings or search.SearchSettings(), list(start), df.count()))
+        return search.SearchResult(None, -1.0, df, None, None, None)
+
+    monkeypatch.setattr(search, "search", found)
+    monkeypatch.setattr(catalog, "_fitted", {})
+    catalog.queries()["search"](spark, sf)
+    assert asked == [(search.SearchSettings(population=10, generations=8, elitism=0.25, mutation=0.1, tournament=3), [], views.apps(spark, sf).count())]
+
+
 def test_search_is_repeatable_resumes_and_records_failures(spark, sf):
     apps = views.apps(spark, sf)
     settings = search.SearchSettings(population=2, generations=2, elitism=0.5, tournament=2, mutation=0.0, parallel=2)
