@@ -200,6 +200,19 @@ def test_text_target_and_unencoded(spark, sf):
         fit.fit_config(wide, "label", {**catalog.FLAGSHIP, "encoding": {"method": "onehot", "params": {"max_cardinality_threshold": 10}}})
 
 
+def test_run_config_saves_the_bundle_with_its_learning_curve(spark, monkeypatch):
+    apps = spark.range(600).select(
+        F.col("id").alias("ID"), (F.col("id") * 37 % 101).cast("double").alias("o_totalprice"), F.when(F.col("id") % 7 != 0, F.col("id") % 13).cast("double").alias("c_acctbal"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("c_mktsegment"), (F.col("id") * 37 % 101 > 60).cast("int").alias("label"))
+    saved, kept = [], bundle.save
+    monkeypatch.setattr(views, "apps", lambda spark, sf: apps)
+    monkeypatch.setattr(bundle, "save", lambda *a: saved.append(kept(*a)) or saved[-1])
+    rows = [r for r in catalog.run_config(spark, "").collect() if r["scope"] == "learning_curve"]
+    assert {r["class"] for r in rows} == {str(i / 10) for i in range(1, 11)} and len(rows) == 40
+    assert all(0.5 < r["value"] <= 1 for r in rows if r["metric"].endswith("mean"))
+    assert bundle.describe(spark, saved[0])["chromosome"] == catalog.START[0] and bundle.load(spark, saved[0]).score(apps).count() == 600
+
+
 def test_multiclass_boosting_query_grows_all_its_trees(spark, sf, monkeypatch):
     asked = []
     monkeypatch.setattr(models.boosting, "fit_boosted", lambda rows, width, k, counts, rounds, *rest: asked.append((k, rounds)) or 1 / 0)
